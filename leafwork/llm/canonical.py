@@ -89,7 +89,7 @@ def _normaliser(columns: list[str]):
                 continue
             table = pa.Table.from_batches([batch])
             db.register("batch", table)
-            yield from db.execute(statement).to_arrow_table().select(columns).to_batches()
+            yield from db.sql(statement).to_arrow_table().select(columns).to_batches()
             db.unregister("batch")
 
     return run
