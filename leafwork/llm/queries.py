@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafwork.llm import canonical, repeated, scans, split
+from leafwork.llm import canonical, markup, names, packing, repeated, scans, split, tokens
 from leafwork.plans.registry import Query, Registry
 from leafwork.sources.tables import table
 
@@ -89,3 +89,60 @@ def p7_blocks(spark: SparkSession, root: str) -> DataFrame:
 @registry.add("p7_clean")
 def p7_clean(spark: SparkSession, root: str) -> DataFrame:
     return _repeated(spark, root).cleaned()
+
+
+def _links(spark: SparkSession, root: str) -> DataFrame:
+    tables = {"manifest": (table(spark, root, "manifest"), "record_id"), "doc_metadata": (table(spark, root, "doc_metadata"), "meta_id")}
+    return names.link_rows(tables, table(spark, root, "sponsor_registry"))
+
+
+@registry.add("p3_found")
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return names.found_variants(_links(spark, root))
+
+
+@registry.add("p3_links")
+def p3_links(spark: SparkSession, root: str) -> DataFrame:
+    return _links(spark, root)
+
+
+def _fields(spark: SparkSession, root: str) -> DataFrame:
+    return markup.fields(table(spark, root, "remote_blocks"), table(spark, root, "gold_eligibility"))
+
+
+@registry.add("p6_found")
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return markup.found_markup(markup.dom_nodes(_fields(spark, root)))
+
+
+@registry.add("p6_style_tree")
+def p6_style_tree(spark: SparkSession, root: str) -> DataFrame:
+    return markup.style_tree(markup.dom_nodes(_fields(spark, root)))
+
+
+@registry.add("p6_clean")
+def p6_clean(spark: SparkSession, root: str) -> DataFrame:
+    values = _fields(spark, root)
+    return markup.clean_fields(values, markup.low_branches(markup.style_tree(markup.dom_nodes(values))))
+
+
+@registry.add("p8_ids")
+def p8_ids(spark: SparkSession, root: str) -> DataFrame:
+    return tokens.token_ids(table(spark, root, "documents"))
+
+
+def _capacity(spark: SparkSession, root: str) -> int:
+    limit = table(spark, root, "size_limits").where("scope = 'documents' and unit = 'token'").agg({"max_size": "min"}).first()[0]
+    if limit is None:
+        raise ValueError("size_limits has no token limit for documents")
+    return int(limit)
+
+
+@registry.add("p9_containers")
+def p9_containers(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack_items(tokens.token_counts(table(spark, root, "documents")), _capacity(spark, root))
+
+
+@registry.add("p9_report")
+def p9_report(spark: SparkSession, root: str) -> DataFrame:
+    return packing.packing_report(p9_containers(spark, root), _capacity(spark, root))
