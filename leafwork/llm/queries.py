@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafwork.llm import canonical, markup, names, packing, repeated, scans, split, tokens
+from leafwork.llm import canonical, markup, names, packing, personal, repeated, scans, split, tokens
 from leafwork.plans.registry import Query, Registry
 from leafwork.sources.tables import table
 
@@ -146,3 +146,13 @@ def p9_containers(spark: SparkSession, root: str) -> DataFrame:
 @registry.add("p9_report")
 def p9_report(spark: SparkSession, root: str) -> DataFrame:
     return packing.packing_report(p9_containers(spark, root), _capacity(spark, root))
+
+
+@registry.add("p10_found")
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return personal.found_mentions(personal.mentions(table(spark, root, "documents")))
+
+
+@registry.add("p10_redacted")
+def p10_redacted(spark: SparkSession, root: str) -> DataFrame:
+    return personal.redacted(table(spark, root, "documents"))
