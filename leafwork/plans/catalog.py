@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leafwork.plans import nested
+from leafwork.plans import nested, sections
 from leafwork.plans.registry import Query
 
-MODULES = (nested,)
+MODULES = (nested, sections)
 
 
 def queries() -> dict[str, Query]:
