@@ -41,19 +41,16 @@ def section_paths(blocks: DataFrame) -> DataFrame:
     known = carry_last(marked, {"__numbered": heading_depth(F.col("prefix"))})
     own = F.coalesce(heading_depth(F.col("prefix")), F.coalesce("__numbered", F.lit(0)) + 1)
     deep = known.withColumn("depth", F.when(is_heading, F.least(own, F.lit(LEVELS)))).drop("__numbered")
-    entry = F.struct("page_num", "order_index", F.trim(text).alias("label"), "prefix")
+    at = F.shiftleft(F.coalesce("page_num", F.lit(-1)).cast("bigint"), 32) + F.coalesce("order_index", F.lit(-1))
+    entry = F.struct(at.alias("at"), F.trim(text).alias("label"), "prefix")
     carried = carry_last(deep, {f"__h{k}": F.when(F.col("depth") == k, entry) for k in range(1, LEVELS + 1)})
 
-    def place(k: int) -> Column:
-        return F.struct(F.col(f"__h{k}.page_num"), F.col(f"__h{k}.order_index"))
-
-    shallower: Column | None = None
-    alive = []
+    alive, shallower = [], F.lit(None).cast("bigint")
     for k in range(1, LEVELS + 1):
-        here = F.when(F.col(f"__h{k}").isNotNull(), place(k))
-        is_open = here.isNotNull() if shallower is None else here.isNotNull() & (shallower.isNull() | (here > shallower))
-        alive.append(F.when(is_open, F.struct(F.lit(k).alias("level"), F.col(f"__h{k}.label").alias("label"), F.col(f"__h{k}.prefix").alias("prefix"))))
-        shallower = here if shallower is None else F.greatest(shallower, here)
+        here = F.col(f"__h{k}")
+        is_open = here.isNotNull() & (shallower.isNull() | (here["at"] > shallower))
+        alive.append(F.when(is_open, F.struct(F.lit(k).alias("level"), here["label"].alias("label"), here["prefix"].alias("prefix"))))
+        shallower = here["at"] if k == 1 else F.greatest(*(F.col(f"__h{j}.at") for j in range(1, k + 1)))
     path = carried.withColumn("__path", F.filter(F.array(*alive), lambda e: e.isNotNull()))
     numbers = F.filter(F.col("__path.prefix"), lambda p: p.isNotNull())
     return path.withColumns({
