@@ -199,7 +199,8 @@ def html_escape(text: Column) -> Column:
 
 def criterion_lines(text: Column, least: int = 25) -> Column:
     """Lines of a free text without bullets, numbers and letters, of at least `least` characters."""
-    bare = lambda line: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(line), r"^[-•*·●∘°]\s*", ""), r"^\d{1,2}[.)]\s*", ""), r"^[A-Za-z][.)]\s*", "")
+    strip = lambda line: F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
+    bare = lambda line: F.regexp_replace(F.regexp_replace(F.regexp_replace(strip(line), r"^[-•*·●∘°]\s*", ""), r"^\d{1,2}[.)]\s*", ""), r"^[A-Za-z][.)]\s*", "")
     lines = F.transform(F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n"), bare)
     return F.filter(lines, lambda line: F.length(line) >= least)
 
