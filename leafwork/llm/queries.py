@@ -45,6 +45,11 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return scans.ScanNoise(table(spark, root, "extracted_blocks")).found()
 
 
+@registry.add("p2_paragraphs")
+def p2_paragraphs(spark: SparkSession, root: str) -> DataFrame:
+    return scans.paragraphs(scans.repaired_blocks(scans.ScanNoise(table(spark, root, "extracted_blocks"))))
+
+
 @registry.add("p4_found")
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     others = {"criterion": (table(spark, root, "extracted_criteria"), "criterion_id"), "block": (table(spark, root, "extracted_blocks"), "block_id")}

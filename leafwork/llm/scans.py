@@ -21,9 +21,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafwork.operators.ordered import distinct_blocks, neighbour, running_sum, segmented
+from leafwork.session import cut
+
 # What each glyph is broken into, so that glyphs confused with each other get equal skeletons.
 GLYPHS = {
     "m": "rri", "n": "ri", "u": "ii", "w": "vv", "d": "cl", "h": "li", "b": "li", "8": "li", "e": "c", "f": "t", "0": "o",
@@ -351,8 +354,6 @@ class ScanNoise:
     """
 
     def __init__(self, blocks: DataFrame) -> None:
-        from leafwork.session import cut
-
         self.blocks = blocks
         self.words = cut(word_table(blocks))
         self.groups = word_groups(self.words)
@@ -371,3 +372,114 @@ class ScanNoise:
         }
         parts = [frame.select("block_id", F.lit(kind).alias("noise")) for kind, frame in kinds.items()]
         return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _recased(word: str, original: str) -> str:
+    letters = [c for c in original if c.isalpha()]
+    if len(letters) > 1 and all(c.isupper() for c in letters):
+        return word.upper()
+    return word[:1].upper() + word[1:] if original[:1].isupper() else word
+
+
+def correct_words(text: str, best: dict[str, str]) -> str:
+    """The text with each misread word (a key of `best`, lower case) replaced, its capitals kept."""
+    if not best:
+        return text
+
+    def chunk(match: re.Match) -> str:
+        whole = match[0]
+        core = whole.strip(_EDGES)
+        if not core:
+            return whole
+        at = whole.index(core)
+        if (found := best.get(core.lower())) is not None:
+            fixed = _recased(found, core)
+        else:
+            fixed = "".join(_recased(best[p.lower()], p) if p.lower() in best else p for p in re.split(r"([-/‐‑–—]+)", core))
+        return whole[:at] + fixed + whole[at + len(core) :]
+
+    return re.sub(r"\S+", chunk, text)
+
+
+def repair_block(text: str, kind: str, best: dict[str, str], breaks: dict[tuple[str, str], tuple[bool, str | None]], running: set[int], numbers: set[str]) -> str:
+    """One block without page furniture, its broken words joined, its misread words corrected and its lines reflowed.
+
+    Lists and tables keep their lines; other blocks become one line.
+    """
+    lines = []
+    for line in map(str.strip, text.split("\n")):
+        if not line or line in numbers or (running and xxhash.xxh3_64_intdigest(masked_key(line)) - (1 << 63) in running):
+            continue
+        if lines and lines[-1][-1] in HYPHENS:
+            first, _, rest = line.partition(" ")
+            half = lines[-1].split()[-1][:-1]
+            verdict = breaks.get((half.lstrip(_EDGES).lower(), first.rstrip(_EDGES).lower()))
+            if verdict is not None:
+                joined, word = verdict
+                whole = half + ("" if joined else "-") + first
+                if word is not None:
+                    core = whole.strip(_EDGES)
+                    whole = whole.replace(core, _recased(word, core))
+                head = lines[-1][: len(lines[-1]) - len(half) - 1]
+                lines[-1] = f"{head}{whole} {rest}".rstrip()
+                continue
+        if kind in ("list", "table") or not lines:
+            lines.append(line)
+        else:
+            lines[-1] = f"{lines[-1]} {line}"
+    return correct_words("\n".join(lines), best)
+
+
+REPAIRED_SCHEMA = "block_id bigint, doc_id string, page_num int, order_index int, block_type string, text string, joins string"
+
+
+def repaired_blocks(noise: ScanNoise) -> DataFrame:
+    """REPAIRED_SCHEMA: the scanned blocks, one per place, with their repairs applied; blocks of nothing but furniture
+    have no row. joins tells how a word broken at the end goes on: 'word', 'compound' or null."""
+    words = misread_blocks(noise.signs, noise.misread).groupBy("block_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "best"))).alias("best"))
+    broken = broken_words(noise.signs, noise.groups, noise.words)
+    halves = broken.groupBy("block_id").agg(F.collect_set(F.struct("a", "b", "across", "hyphen", "misread")).alias("breaks"))
+    lines = running_lines(noise.signs).groupBy("block_id").agg(F.collect_set("num").alias("running"))
+    numbers = page_number_lines(noise.signs).groupBy("block_id").agg(F.collect_set("line").alias("numbers"))
+    rows = scanned(distinct_blocks(noise.blocks)).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "block_type", "text")
+    for part in (words, halves, lines, numbers):
+        rows = rows.join(part, "block_id", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [n.split()[0] for n in REPAIRED_SCHEMA.split(", ")]
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                halves = r["breaks"] or []
+                inside = {(h["a"], h["b"]): (h["hyphen"], h["misread"]) for h in halves if not h["across"]}
+                text = repair_block(r["text"], r["block_type"], dict(r["best"] or ()), inside, set(r["running"] or ()), set(r["numbers"] or ()))
+                across = next((h for h in halves if h["across"]), None)
+                if text:
+                    out.append((*(r[n] for n in names[:5]), text, None if across is None else "word" if across["hyphen"] else "compound"))
+            columns = list(zip(*out)) or [()] * 7
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return rows.mapInArrow(run, REPAIRED_SCHEMA)
+
+
+def paragraphs(repaired: DataFrame) -> DataFrame:
+    """doc_id, paragraph, block_type, first_page, last_page, n_blocks, text: readable paragraphs in reading order.
+
+    A block goes on with the next one of its kind when a word is broken between them, or when it does not end a sentence
+    and the next starts in lower case. Windows run in segments of pages, so that no document is gathered in one task.
+    """
+    rows = segmented(repaired)
+    prose = F.col("block_type").isin("paragraph", "other", "footnote")
+    unfinished = ~F.col("text").rlike(r"[.!?:;。！？][\"'”’)\]]*$")
+    before = neighbour(rows, {"__open": prose & (unfinished | F.col("joins").isNotNull()), "__joins": F.col("joins")}, -1)
+    goes_on = F.coalesce(prose & F.col("__open") & (F.col("text").rlike(r"^\p{Ll}") | F.col("__joins").isNotNull()), F.lit(False))
+    numbered = running_sum(before.withColumn("__on", goes_on), "paragraph", F.when(F.col("__on"), 0).otherwise(1).cast("bigint"))
+    piece = F.struct("page_num", "order_index", F.when(F.col("__on"), F.coalesce("__joins", F.lit("space"))).alias("joint"), "text", "block_type")
+    grouped = numbered.groupBy("doc_id", "paragraph").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    bare = lambda t: F.regexp_replace(t, rf"[{HYPHENS}]$", "")
+    step = lambda text, p: F.when(p["joint"].isNull(), p["text"]).when(p["joint"] == "word", F.concat(bare(text), p["text"])).when(p["joint"] == "compound", F.concat(bare(text), F.lit("-"), p["text"])).otherwise(F.concat_ws(" ", text, p["text"]))
+    return grouped.select(
+        "doc_id", "paragraph", F.element_at("p", 1)["block_type"].alias("block_type"), F.element_at("p", 1)["page_num"].alias("first_page"), F.element_at("p", -1)["page_num"].alias("last_page"),
+        F.size("p").alias("n_blocks"), F.aggregate("p", F.lit(""), step).alias("text"),
+    )

@@ -59,3 +59,22 @@ def test_found(spark):
 
 def test_empty(spark):
     assert scans.ScanNoise(_blocks(spark).where("false")).found().count() == 0
+
+
+def test_repair_block():
+    best = {"rnonitor": "monitor", "trea1ment": "treatment"}
+    breaks = {("trea", "tment"): (True, None), ("follow", "up"): (False, None), ("confirm", "ecl"): (True, "confirmed")}
+    fix = lambda text, kind="paragraph": scans.repair_block(text, kind, best, breaks, set(), {"Page 3"})
+    assert fix("The trea-\ntment, by the RNONITOR\nPage 3\nand follow-\nup.") == "The treatment, by the MONITOR and follow-up."
+    assert fix("was Confirm-\necl (Rnonitor).") == "was Confirmed (Monitor)."
+    assert fix("- a rnonitor\n- b", "list") == "- a monitor\n- b"
+    assert fix("Page 3") == "" and fix("") == ""
+
+
+def test_paragraphs(spark):
+    noise = scans.ScanNoise(_blocks(spark))
+    rows = {(r.doc_id, r.first_page, r.last_page): r.text for r in scans.paragraphs(scans.repaired_blocks(noise)).collect() if r.doc_id == "s1"}
+    assert any(t.endswith("the treatment and the medical monitor") for t in rows.values())
+    assert any("with the treatment reviews" in t for t in rows.values())
+    assert not any("Protocol ABC" in t or "Page" in t for t in rows.values())
+    assert scans.paragraphs(scans.repaired_blocks(noise).limit(0)).count() == 0
