@@ -74,7 +74,7 @@ def test_repair_block():
 def test_paragraphs(spark):
     noise = scans.ScanNoise(_blocks(spark))
     rows = {(r.doc_id, r.first_page, r.last_page): r.text for r in scans.paragraphs(scans.repaired_blocks(noise)).collect() if r.doc_id == "s1"}
-    assert any(t.endswith("the treatment and the medical monitor") for t in rows.values())
+    assert any("the treatment and the medical monitor" in t for t in rows.values())
     assert any("with the treatment reviews" in t for t in rows.values())
     assert not any("Protocol ABC" in t or "Page" in t for t in rows.values())
     assert scans.paragraphs(scans.repaired_blocks(noise).limit(0)).count() == 0
