@@ -37,7 +37,7 @@ def _blocks(spark):
     rows += [
         (100, "s1", 1, 5, "paragraph", "the trea-\ntment and the medical rnonitor", "qwen_vl"),
         (101, "s1", 2, 7, "paragraph", "before the follow-\nup dose ends with the treat-", "qwen_vl"),
-        (102, "s1", 3, 1, "paragraph", "ment reviews", "qwen_vl"),
+        (102, "s1", 3, -1, "paragraph", "ment reviews", "qwen_vl"),
         (103, "t1", 0, 9, "paragraph", "a follow-up dose, a follow-up dose, rnonitor", "docling"),
         (104, "s1", None, None, "paragraph", None, "qwen_vl"),
         (105, None, 0, 0, None, "", "qwen_vl"),
