@@ -44,9 +44,12 @@ def start_year(date: Column) -> Column:
 
 
 def round_robin(rows: DataFrame, stratum: str, order: list[Column], key: str, n: int) -> DataFrame:
-    """The first n rows when strata take turns, each giving its rows in order; ranks run in the strata, not over all."""
+    """The first n rows when strata take turns, each giving its rows in order.
+
+    No stratum can give more than n rows, so every task keeps its n first of a stratum before the shuffle.
+    """
     turn = F.row_number().over(Window.partitionBy(stratum).orderBy(*order, key))
-    return rows.where(F.col(stratum).isNotNull()).withColumn("turn", turn).orderBy("turn", stratum).limit(n)
+    return rows.where(F.col(stratum).isNotNull()).withColumn("turn", turn).where(F.col("turn") <= n).orderBy("turn", stratum).limit(n)
 
 
 def events_rollup(events: DataFrame, width: str = "1 hour") -> DataFrame:

@@ -55,23 +55,41 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(union == 0, 0.0).otherwise(both / union)
 
 
-def similarities(left: DataFrame, right: DataFrame) -> DataFrame:
-    """key, left_id, right_id, score of all pairs of one key that share a word; texts in (key, id, text).
+def similarities(left: DataFrame, right: DataFrame, least: float, words=None) -> DataFrame:
+    """key, left_id, right_id, score of the pairs of one key with a score of at least `least`; texts in (key, id, text).
 
-    Words are exploded and joined on (key, word); the union follows from the set sizes, so texts never meet whole.
+    Equal word sets are one class on either side, and classes meet by prefix filter: with the words of a set ordered
+    from rare to frequent in its key, two sets as similar as asked share one of the first n - ceil(least * n) + 1 words
+    of each. Frequent words therefore make no candidates; scores are exact. Pairs are between class representatives,
+    given back to the members at the end, so copies cost no comparison. Texts without words have no pairs.
     """
-    def words(frame: DataFrame, name: str) -> DataFrame:
-        bag = frame.select("key", F.col("id").alias(f"{name}_id"), T.word_set(T.match_form(F.col("text"))).alias("bag"))
-        return bag.select("key", f"{name}_id", F.size("bag").alias(f"{name}_n"), F.explode("bag").alias("word"))
+    words = words or (lambda c: T.word_set(T.match_form(c)))
 
-    shared = words(left, "left").join(words(right, "right"), ["key", "word"]).groupBy("key", "left_id", "right_id").agg(F.count("*").alias("both"), F.first("left_n").alias("l"), F.first("right_n").alias("r"))
-    return shared.select("key", "left_id", "right_id", (F.col("both") / (F.col("l") + F.col("r") - F.col("both"))).alias("score"))
+    def bags(frame: DataFrame) -> DataFrame:
+        return frame.select("key", "id", F.array_sort(words(F.col("text"))).alias("bag")).where(F.size("bag") > 0).withColumn("class", F.xxhash64("bag"))
 
+    one, two = bags(left), bags(right)
+    sets = {name: frame.groupBy("key", "class").agg(F.min("bag").alias("bag")) for name, frame in (("left", one), ("right", two))}
+    spread = {name: frame.select("key", "class", F.size("bag").alias("n"), F.explode("bag").alias("word")) for name, frame in sets.items()}
+    often = spread["left"].unionByName(spread["right"]).groupBy("key", "word").agg(F.count("*").alias("df"))
 
-def best_matches(candidates: DataFrame, pool: DataFrame) -> DataFrame:
-    """key, left_id, right_id, score: the most similar text of the pool for each candidate; ties go to the least id."""
+    def prefix(name: str) -> DataFrame:
+        ranked = spread[name].join(often, ["key", "word"]).groupBy("key", "class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
+        kept = F.slice("w", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
+        return ranked.select("key", F.col("class").alias(name), F.explode(kept["word"]).alias("word"))
+
+    pairs = prefix("left").join(prefix("right"), ["key", "word"]).select("key", "left", "right").distinct()
+    full = pairs.join(sets["left"].toDF("key", "left", "a"), ["key", "left"]).join(sets["right"].toDF("key", "right", "b"), ["key", "right"])
+    scored = full.select("key", "left", "right", jaccard(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= least)
+    members = lambda frame, name: frame.select("key", F.col("class").alias(name), F.col("id").alias(f"{name}_id"))
+    return scored.join(members(one, "left"), ["key", "left"]).join(members(two, "right"), ["key", "right"]).select("key", "left_id", "right_id", "score")
+
+
+def best_matches(candidates: DataFrame, pool: DataFrame, least: float = 0.3) -> DataFrame:
+    """key, left_id, right_id, score: the most similar text of the pool for each candidate that has one of at least
+    `least`; ties go to the least id."""
     top = F.max_by(F.struct("right_id", "score"), F.struct("score", -F.col("right_id"))).alias("m")
-    return similarities(candidates, pool).groupBy("key", "left_id").agg(top).select("key", "left_id", "m.right_id", "m.score")
+    return similarities(candidates, pool, least).groupBy("key", "left_id").agg(top).select("key", "left_id", "m.right_id", "m.score")
 
 
 def match_classes(best: DataFrame, candidates: DataFrame, pool: DataFrame, threshold: float = 0.5, partial: float = 0.3) -> DataFrame:

@@ -71,17 +71,16 @@ _BAG = "list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')
 
 @registry.add(
     "token_jaccard",
-    f"""WITH g AS (SELECT doc_id, gold_id, {_BAG} AS a FROM gold_eligibility), c AS (SELECT doc_id, criterion_id, {_BAG} AS b FROM extracted_criteria)
-    SELECT criterion_id, gold_id, round(len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))), 6) AS score FROM g JOIN c USING (doc_id) WHERE len(list_intersect(a, b)) > 0""",
+    f"""WITH g AS (SELECT doc_id, gold_id, {_BAG} AS a FROM gold_eligibility), c AS (SELECT doc_id, criterion_id, {_BAG} AS b FROM extracted_criteria),
+    s AS (SELECT criterion_id, gold_id, len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) AS score FROM g JOIN c USING (doc_id) WHERE len(a) > 0 AND len(b) > 0)
+    SELECT criterion_id, gold_id, round(score, 6) AS score FROM s WHERE score >= 0.5""",
 )
 def token_jaccard(spark: SparkSession, root: str) -> DataFrame:
-    def bags(name: str, key: str) -> DataFrame:
-        bag = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)))
-        return table(spark, root, name).select("doc_id", key, F.size(bag).alias(f"n_{key}"), F.explode(bag).alias("word"))
-
-    joined = bags("gold_eligibility", "gold_id").join(bags("extracted_criteria", "criterion_id"), ["doc_id", "word"])
-    counted = joined.groupBy("gold_id", "criterion_id", "n_gold_id", "n_criterion_id").agg(F.count("*").alias("both"))
-    return counted.select("criterion_id", "gold_id", F.round(F.col("both") / (F.col("n_gold_id") + F.col("n_criterion_id") - F.col("both")), 6).alias("score"))
+    got = table(spark, root, "extracted_criteria").select(F.col("doc_id").alias("key"), F.col("criterion_id").alias("id"), "text")
+    gold = table(spark, root, "gold_eligibility").select(F.col("doc_id").alias("key"), F.col("gold_id").alias("id"), "text")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)))
+    found = matching.similarities(got, gold, 0.5, words)
+    return found.select(F.col("left_id").alias("criterion_id"), F.col("right_id").alias("gold_id"), F.round("score", 6).alias("score"))
 
 
 def _classes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
