@@ -112,7 +112,8 @@ def look_alikes(gold: DataFrame, others: dict[str, tuple[DataFrame, str]], doc:
     """Pairs (src, row_id, gold id) of the same document whose texts look the same but are not the same string.
 
     `others` names the relations compared with `gold`: src -> (relation, key column). The join is on (document, digest
-    of the canonical form), so that one large document is spread over its distinct texts.
+    of the canonical form), so that one large document is spread over its distinct texts. Texts that are blank in print
+    have no pairs.
     """
     left = canonical_texts(gold, (doc, gold_key), keep_text=False).select(F.col(doc).alias("__doc"), gold_key, F.col("look").alias("__look"), F.col("raw").alias("__raw"))
     rows = None
@@ -121,7 +122,7 @@ def look_alikes(gold: DataFrame, others: dict[str, tuple[DataFrame, str]], doc:
         rows = part if rows is None else rows.unionByName(part)
     return (
         rows.join(left, (F.col(doc) == F.col("__doc")) & (F.col("look") == F.col("__look")))
-        .where(F.col("raw") != F.col("__raw"))
+        .where((F.col("raw") != F.col("__raw")) & (F.col("look") != F.md5(F.lit(""))))
         .select("src", "row_id", F.col(gold_key).cast("bigint").alias("gold_id"))
         .distinct()
     )

@@ -30,8 +30,8 @@ def test_null_empty_ascii_long(spark):
 
 
 def test_look_alikes(spark):
-    gold = spark.createDataFrame([("d", 1, "a b"), ("d", 2, "a\u00a0b"), ("e", 3, "a b"), ("d", 4, None)], "doc_id string, gold_id long, text string")
-    other = spark.createDataFrame([("d", 7, "a b", 1), ("d", 8, "a \u200bb", 1), ("e", 9, "a b", 1), (None, 10, "a b", 1), ("d", 11, None, 1)], "doc_id string, row long, text string, gold_id int")
+    gold = spark.createDataFrame([("d", 1, "a b"), ("d", 2, "a\u00a0b"), ("e", 3, "a b"), ("d", 4, None), ("d", 5, " ")], "doc_id string, gold_id long, text string")
+    other = spark.createDataFrame([("d", 7, "a b", 1), ("d", 8, "a \u200bb", 1), ("e", 9, "a b", 1), (None, 10, "a b", 1), ("d", 11, None, 1), ("d", 12, "\u00a0", 1)], "doc_id string, row long, text string, gold_id int")
     found = canonical.look_alikes(gold, {"block": (other, "row")})
     assert {tuple(r) for r in found.collect()} == {("block", 7, 2), ("block", 8, 1), ("block", 8, 2)}
     assert canonical.look_alikes(gold.where("false"), {"block": (other, "row")}).count() == 0

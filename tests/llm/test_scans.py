@@ -78,3 +78,9 @@ def test_paragraphs(spark):
     assert any("with the treatment reviews" in t for t in rows.values())
     assert not any("Protocol ABC" in t or "Page" in t for t in rows.values())
     assert scans.paragraphs(scans.repaired_blocks(noise).limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    blocks = _blocks(spark)
+    extra = {n: scans.F.lit("x") for n in ("word", "n", "kind", "num", "a", "b", "skel", "noise", "paragraph")}
+    assert scans.ScanNoise(blocks.withColumns(extra)).found().count() == scans.ScanNoise(blocks).found().count()

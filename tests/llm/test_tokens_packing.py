@@ -78,6 +78,9 @@ def test_pack_over_spark(spark, monkeypatch):
     assert all(v <= 64 for v in fill.values()) and all(r.fill == fill[r.container_id] for r in rows)
     parts = sorted((r.part_no, r.start, r["size"]) for r in rows if r.doc_id == 5)
     assert parts == [(0, 0, 64), (1, 64, 64), (2, 128, 64), (3, 192, 8)]
+    clash = frame.withColumns({n: packing.F.lit(1) for n in ("shard", "size", "start", "tier", "part_no")})
+    assert packing.pack_items(clash, 64).count() == len(rows)
     assert packing.pack_items(frame.where("false"), 64).count() == 0
+    assert packing.packing_report(packing.pack_items(frame, 64), 64).first().containers == len(fill)
     with pytest.raises(ValueError):
         packing.pack_items(frame, 0)
