@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leafwork.plans import chunks, corpus, layout, matching, nested, sections, texts
+from leafwork.plans import annotations, chunks, corpus, layout, matching, nested, sections, texts
 from leafwork.plans.registry import Query
 
-MODULES = (nested, sections, texts, chunks, layout, matching, corpus)
+MODULES = (nested, sections, texts, chunks, layout, matching, corpus, annotations)
 
 
 def queries() -> dict[str, Query]:
