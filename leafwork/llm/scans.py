@@ -3,8 +3,8 @@
 Words of the whole corpus are counted and grouped by their confusable-glyph skeleton: a letter-wise rewriting under
 which a misread word and the word it stands for become equal. In each group the frequent form, supported by the
 unbroken occurrences in all documents, wins over the rare ones. Line-end hyphens are judged by whether the corpus
-writes the word joined or as a compound; lines at the edges of pages are keyed by their skeleton with numbers masked
-and counted over the pages of their document; page numbers must follow their page at one offset per document.
+writes the word joined or as a compound; lines at the edges of pages are keyed by their skeleton with the page number
+masked and counted over the pages of their document; page numbers must follow their page at one offset per document.
 
 Two passes over the text run in Arrow batches. The first counts words per partition. The second emits only what may be
 noise: its filter for misread words is a Bloom filter of fixed size, so that what is broadcast does not grow with the
@@ -154,16 +154,26 @@ def bloom_filter(words: DataFrame) -> bytes:
     return longs.tobytes()
 
 
-def masked_key(line: str) -> str:
-    """The line's skeleton with every number masked, white space levelled."""
-    out = []
+def line_keys(line: str, page: int) -> list[str]:
+    """Keys of a line that stay equal from page to page: its skeleton with all numbers as they are, and for each number
+    once more with that number masked by its distance from the page. Digits read as letters are digits again."""
+    parts, numbers = [], []
     for token in line.lower().split():
         bare = token.strip(_EDGES)
-        if bare and any(c.isdigit() for c in bare) and _NUMBER.fullmatch(bare.translate(_DIGITS)):
-            out.append("#")
+        if bare and any(c.isdigit() for c in bare) and _NUMBER.fullmatch(digits := bare.translate(_DIGITS)):
+            parts.append(token.replace(bare, digits))
+            if digits.isdigit() and len(digits) < 7:
+                numbers.append((len(parts) - 1, int(digits)))
         else:
-            out.append(token.translate(_SKELETON))
-    return " ".join(out)
+            parts.append(token.translate(_SKELETON))
+    keys = [" ".join(parts)]
+    for at, number in numbers:
+        keys.append(" ".join([*parts[:at], f"#{number - page}", *parts[at + 1 :]]))
+    return keys
+
+
+def line_hashes(line: str, page: int | None) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in line_keys(line, page or 0)]
 
 
 def page_number(line: str) -> int | None:
@@ -247,7 +257,7 @@ def _signs(bits: bytes):
                 body = edges[2:-2] or edges
                 for s in {*edges[:2], *edges[-2:]}:
                     if len(s) <= 140:
-                        rows.append((*where, "edge", xxhash.xxh3_64_intdigest(masked_key(s)) - (1 << 63), None, None))
+                        rows += [(*where, "edge", h, None, None) for h in line_hashes(s, page)]
                 if edges and body and edges[0][0].islower():
                     rows.append((*where, "head", None, edges[0].split()[0].rstrip(_EDGES).lower(), None))
                 elif len(edges) > 1 and any(s[0].islower() for s in edges[1:3]):
@@ -324,10 +334,14 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
     return pairs.join(judged.select("a", "b", hyphen.alias("hyphen"), misread.alias("misread")), ["a", "b"]).select("block_id", "page_num", "a", "b", "across", "hyphen", "misread")
 
 
-def running_lines(signs: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
-    """block_id, num: edge lines whose masked skeleton is on at least `least` pages and `share` of the document's pages."""
+def document_pages(blocks: DataFrame, parser: str = "qwen_vl") -> DataFrame:
+    """doc_id, pages: how many pages of each scanned document have a block, with text or without."""
+    return blocks.where(F.col("parser_used") == parser).groupBy("doc_id").agg(F.count_distinct("page_num").alias("pages"))
+
+
+def running_lines(signs: DataFrame, pages: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
+    """block_id, num: edge lines with a key that is on at least `least` pages and `share` of the document's pages."""
     edges = signs.where("kind = 'edge'").select("block_id", "doc_id", "page_num", "num")
-    pages = signs.where("kind in ('edge', 'number')").select("doc_id", "page_num").distinct().groupBy("doc_id").agg(F.count("*").alias("pages"))
     per_line = edges.groupBy("doc_id", "num", "page_num").agg(F.collect_set("block_id").alias("blocks"))
     counted = per_line.groupBy("doc_id", "num").agg(F.count("*").alias("on")).where(F.col("on") >= least)
     kept = counted.join(pages, "doc_id").where(F.col("on") >= F.col("pages") * share).select("doc_id", "num")
@@ -367,7 +381,7 @@ class ScanNoise:
         kinds = {
             "char": misread_blocks(self.signs, self.misread).select("block_id").unionByName(in_halves.select("block_id")),
             "hyphen": broken.where("hyphen"),
-            "running": running_lines(self.signs),
+            "running": running_lines(self.signs, document_pages(self.blocks)),
             "page_no": page_number_lines(self.signs),
         }
         parts = [frame.select("block_id", F.lit(kind).alias("noise")) for kind, frame in kinds.items()]
@@ -401,14 +415,14 @@ def correct_words(text: str, best: dict[str, str]) -> str:
     return re.sub(r"\S+", chunk, text)
 
 
-def repair_block(text: str, kind: str, best: dict[str, str], breaks: dict[tuple[str, str], tuple[bool, str | None]], running: set[int], numbers: set[str]) -> str:
+def repair_block(text: str, kind: str, best: dict[str, str], breaks: dict[tuple[str, str], tuple[bool, str | None]], running: set[int], numbers: set[str], page: int = 0) -> str:
     """One block without page furniture, its broken words joined, its misread words corrected and its lines reflowed.
 
     Lists and tables keep their lines; other blocks become one line.
     """
     lines = []
     for line in map(str.strip, text.split("\n")):
-        if not line or line in numbers or (running and xxhash.xxh3_64_intdigest(masked_key(line)) - (1 << 63) in running):
+        if not line or line in numbers or (running and not running.isdisjoint(line_hashes(line, page))):
             continue
         if lines and lines[-1][-1] in HYPHENS:
             first, _, rest = line.partition(" ")
@@ -439,7 +453,7 @@ def repaired_blocks(noise: ScanNoise) -> DataFrame:
     words = misread_blocks(noise.signs, noise.misread).groupBy("block_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "best"))).alias("best"))
     broken = broken_words(noise.signs, noise.groups, noise.words)
     halves = broken.groupBy("block_id").agg(F.collect_set(F.struct("a", "b", "across", "hyphen", "misread")).alias("breaks"))
-    lines = running_lines(noise.signs).groupBy("block_id").agg(F.collect_set("num").alias("running"))
+    lines = running_lines(noise.signs, document_pages(noise.blocks)).groupBy("block_id").agg(F.collect_set("num").alias("running"))
     numbers = page_number_lines(noise.signs).groupBy("block_id").agg(F.collect_set("line").alias("numbers"))
     rows = scanned(distinct_blocks(noise.blocks)).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "block_type", "text")
     for part in (words, halves, lines, numbers):
@@ -452,7 +466,7 @@ def repaired_blocks(noise: ScanNoise) -> DataFrame:
             for r in batch.to_pylist():
                 halves = r["breaks"] or []
                 inside = {(h["a"], h["b"]): (h["hyphen"], h["misread"]) for h in halves if not h["across"]}
-                text = repair_block(r["text"], r["block_type"], dict(r["best"] or ()), inside, set(r["running"] or ()), set(r["numbers"] or ()))
+                text = repair_block(r["text"], r["block_type"], dict(r["best"] or ()), inside, set(r["running"] or ()), set(r["numbers"] or ()), r["page_num"] or 0)
                 across = next((h for h in halves if h["across"]), None)
                 if text:
                     out.append((*(r[n] for n in names[:5]), text, None if across is None else "word" if across["hyphen"] else "compound"))

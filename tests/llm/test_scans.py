@@ -14,9 +14,12 @@ def test_page_numbers():
         assert scans.page_number(line) is None, line
 
 
-def test_masked_key():
-    assert scans.masked_key("Protoco1 X, page 12") == scans.masked_key("Protocol X, pa9e 3")
-    assert scans.masked_key("Protocol X") != scans.masked_key("Protocol Y")
+def test_line_keys():
+    keys = lambda line, page: set(scans.line_keys(line, page))
+    assert keys("Protoco1 X, page 12", 11) & keys("Protocol X, pa9e 3", 2)
+    assert not keys("Protocol X", 1) & keys("Protocol Y", 2)
+    assert not keys("80 mg", 4) & keys("25 mg", 6) and keys("Version 6.0", 1) & keys("Vers!on 6.0", 9)
+    assert keys("page 4 of 20", 3) & keys("page 9 of 20", 8)
 
 
 def test_unbroken_drops_halves():
