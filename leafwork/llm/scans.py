@@ -254,11 +254,10 @@ def _signs(bits: bytes):
                 for s in lines if len(edges) < len(lines) else ():
                     if len(s) <= 40 and (number := page_number(s)) is not None:
                         rows.append((*where, "number", number, s, None))
-                body = edges[2:-2] or edges
                 for s in {*edges[:2], *edges[-2:]}:
                     if len(s) <= 140:
                         rows += [(*where, "edge", h, None, None) for h in line_hashes(s, page)]
-                if edges and body and edges[0][0].islower():
+                if edges and edges[0][0].islower():
                     rows.append((*where, "head", None, edges[0].split()[0].rstrip(_EDGES).lower(), None))
                 elif len(edges) > 1 and any(s[0].islower() for s in edges[1:3]):
                     first = next(s for s in edges[1:3] if s[0].islower())
