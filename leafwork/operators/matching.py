@@ -12,8 +12,8 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(T.compare_form(text), " "), lambda w: w != "")
 
 
-def ngrams(words: Column, n: int = 4) -> Column:
-    """Distinct n-grams, joined by blanks; a shorter text is one gram, an empty one has none.
+def ngrams(words: Column, n: int = 4, distinct: bool = True) -> Column:
+    """The n-grams, joined by blanks, distinct unless told otherwise; a shorter text is one gram, an empty one has none.
 
     The shifted copies of the words are zipped, so that no element looks back into the whole list.
     """
@@ -21,7 +21,7 @@ def ngrams(words: Column, n: int = 4) -> Column:
     whole = F.slice(shifted, F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(0)))
     grams = F.transform(whole, lambda z: F.concat_ws(" ", *(z[f"w{k}"] for k in range(n))))
     short = F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(F.array(F.array_join(words, " ")))
-    return F.when(F.size(words) < n, short).otherwise(F.array_distinct(grams))
+    return F.when(F.size(words) < n, short).otherwise(F.array_distinct(grams) if distinct else grams)
 
 
 def with_tokens(frame: DataFrame, text: str = "text", name: str = "w", words: Column | None = None) -> DataFrame:
@@ -39,7 +39,7 @@ def fuzzy_presence(needles: DataFrame, haystacks: DataFrame, n: int = 4, thresho
     asked = needles.select("key", "needle_id", F.col("text").alias("t"), tokens(F.col("text")).alias("w"))
     long = asked.where(F.size("w") >= n).select("key", "needle_id", F.explode(ngrams(F.col("w"), n)).alias("gram"))
     sizes = long.groupBy("key", "needle_id").agg(F.count("*").alias("of"))
-    have = with_tokens(haystacks).select("key", F.explode(ngrams(F.col("w"), n)).alias("gram")).distinct()
+    have = with_tokens(haystacks).select("key", F.explode(ngrams(F.col("w"), n, distinct=False)).alias("gram")).distinct()
     hits = long.join(have, ["key", "gram"], "left_semi").groupBy("key", "needle_id").agg(F.count("*").alias("hit"))
     scored = sizes.join(hits, ["key", "needle_id"], "left").select("key", "needle_id", (F.coalesce("hit", F.lit(0)) / F.col("of")).alias("share"))
     short = asked.where((F.size("w") < n) & (F.size("w") > 0)).select("key", "needle_id", T.compare_form(F.col("t")).alias("form"))
