@@ -128,26 +128,40 @@ def match_metrics(classes: DataFrame, pool: DataFrame) -> DataFrame:
 
 def evidence(claims: DataFrame, texts: DataFrame, prefix: int = 50) -> DataFrame:
     """claim_id, block_id, tier: where a claim is found in its document's texts: verbatim (1), with blanks levelled (2), by
-    its first `prefix` characters (3); the first block of the best tier. Claims found nowhere have no row.
+    its first `prefix` characters (3); the first block of the best tier. Blank claims and claims found nowhere have no row.
 
-    Candidates come from an equi join on (document, first words of the claim), three words or all of a shorter claim, and
-    not from all pairs; a claim is therefore found where its beginning stands at a word.
+    Whatever the tier, the levelled text holds the claim's levelled beginning. Both are cut into runs of letters and digits
+    and runs of other signs, so a run inside the beginning is a run of the text, and one at its border is part of a run.
+    Each beginning is looked up by one run: of its inner words of four letters or more the one in the fewest texts of the
+    document, else its longest run, by way of the document's distinct runs that contain it. No pair is lost, and the pairs
+    of a run and a text meet in equi joins, never all texts of a document with all claims.
     """
     level = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
-    words = lambda c: F.filter(F.split(level(c), " "), lambda w: w != "")
-    asked = claims.select("doc_id", "claim_id", F.col("text").alias("claim"), words(F.col("text")).alias("w"))
-    near = None
-    for n in (1, 2, 3):
-        some = asked.where(F.size("w") >= 3 if n == 3 else F.size("w") == n).select("doc_id", "claim_id", "claim", F.array_join(F.slice("w", 1, n), " ").alias("gram"))
-        cut = with_tokens(texts, words=words(F.col("text")))
-        spread = cut.select("doc_id", "block_id", F.col("text").alias("body"), F.explode(ngrams(F.col("w"), n)).alias("gram"))
-        part = some.join(spread, ["doc_id", "gram"])
-        near = part if near is None else near.unionByName(part)
+    runs = lambda c: F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N} ]+"), F.lit(0))
+    asked = claims.select("doc_id", "claim_id", F.col("text").alias("claim"), F.substring(level(F.col("text")), 1, prefix).alias("head")).withColumn("w", runs(F.col("head"))).where(F.size("w") > 0)
+    near = texts.join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
+    spread = near.select("doc_id", "block_id", F.explode(F.array_distinct(runs(level(F.col("text"))))).alias("run"))
+    known = spread.groupBy("doc_id", "run").agg(F.count("*").alias("df"))
+    # The last run is at the border too, unless the beginning was cut at a blank.
+    inside = F.slice("w", F.lit(2), F.greatest(F.size("w") - F.when(F.endswith("head", F.lit(" ")), 1).otherwise(2), F.lit(0)))
+    probes = asked.select("doc_id", "claim_id", "w", F.filter(inside, lambda x: x.rlike(r"[\p{L}\p{N}]{4}")).alias("words")).withColumn("exact", F.size("words") > 0)
+    rarest = (
+        probes.where("exact").select("doc_id", "claim_id", F.explode(F.array_distinct("words")).alias("run"))
+        .join(known, ["doc_id", "run"], "left").groupBy("doc_id", "claim_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "run")).alias("m"))
+        .select("doc_id", "claim_id", "m.run")
+    )
+    longest = F.array_max(F.transform("w", lambda x: F.struct(x.rlike(r"[\p{L}\p{N}]").alias("word"), F.length(x).alias("n"), x.alias("part"))))["part"]
+    parts = probes.where("not exact").select("doc_id", "claim_id", longest.alias("part"))
+    # Distinct parts meet the distinct runs of their document, not its texts.
+    holders = parts.select("doc_id", "part").distinct().join(known.select("doc_id", "run"), "doc_id").where(F.contains("run", "part"))
+    looked = rarest.unionByName(parts.join(holders, ["doc_id", "part"]).select("doc_id", "claim_id", "run"))
+    pairs = looked.join(spread, ["doc_id", "run"]).select("doc_id", "claim_id", "block_id").distinct()
+    full = pairs.join(asked.select("doc_id", "claim_id", "claim"), ["doc_id", "claim_id"]).join(near.select("doc_id", "block_id", F.col("text").alias("body")), ["doc_id", "block_id"])
     tier = (
         F.when(F.contains("body", "claim"), 1).when(F.contains(level(F.col("body")), level(F.col("claim"))), 2)
         .when((F.length("claim") >= prefix) & F.contains(level(F.col("body")), F.substring(level(F.col("claim")), 1, prefix)), 3)
     )
-    return near.withColumn("tier", tier).where("tier is not null").groupBy("claim_id").agg(F.min(F.struct("tier", "block_id")).alias("m")).select("claim_id", "m.block_id", "m.tier")
+    return full.withColumn("tier", tier).where("tier is not null").groupBy("claim_id").agg(F.min(F.struct("tier", "block_id")).alias("m")).select("claim_id", "m.block_id", "m.tier")
 
 
 def missing_references(rows: DataFrame, targets: DataFrame, on: str) -> DataFrame:

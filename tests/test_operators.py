@@ -89,6 +89,39 @@ def test_evidence_tiers(spark):
     assert {r.claim_id: (r.block_id, r.tier) for r in matching.evidence(claims, texts).collect()} == {1: (10, 1), 2: (10, 2), 3: (12, 3), 5: (10, 1)}
 
 
+def test_evidence_equals_brute_force_over_whole_documents(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    words = ["Pregnancy", "consent", "of", "\u00a0", "\u200e", "\ufeff", "(", ")", "\u2022", ",", ".", " ", "  ", "\n", "history", "5", "mg", "\u2265", "\u03b2", "\u764c\u75c7", "pre", "e\u0301", "\U0001d400", "-"]
+    made = lambda n: "".join(rng.choice(words) + rng.choice(["", " ", " "]) for _ in range(n))
+    texts = [(rng.choice("de"), i, made(rng.randint(1, 30))) for i in range(60)]
+    claims = [(rng.choice("de"), i, made(rng.randint(1, 2))) for i in range(60)]
+    for d, _, body in texts * 3:
+        at, n = rng.randrange(len(body)), rng.choice([1, 3, 8, 30, 55, 80])
+        claims.append((d, len(claims), body[at : at + n] + rng.choice(["", "", " another end of the claim"])))
+    claims += [("d", 1000, "\u200eNo known allergy"), ("d", 1001, "Age over 18"), ("d", 1002, "  "), (None, 1003, "Age"), ("d", 1004, "llergy")]
+    texts += [("d", 1000, "x \u200eNo known allergy, none"), ("d", 1001, "\u00a0Age over 18."), ("d", 1002, None), (None, 1003, "Age")]
+    level = lambda t: re.sub(r"[ \t\n\x0b\f\r]+", " ", t).strip(" ")
+
+    def tier(claim, body):
+        if claim in body:
+            return 1
+        if level(claim) in level(body):
+            return 2
+        return 3 if len(claim) >= 50 and level(claim)[:50] in level(body) else None
+
+    wanted = {}
+    for d, i, claim in claims:
+        hits = [(k, b) for e, b, body in texts if d and d == e and body and level(claim) and (k := tier(claim, body))]
+        if hits:
+            wanted[i] = min(hits)[::-1]
+    assert {wanted[1000], wanted[1001], wanted[1004]} == {(1000, 1), (1001, 1)}
+    frames = spark.createDataFrame(claims, "doc_id string, claim_id int, text string"), spark.createDataFrame(texts, "doc_id string, block_id int, text string")
+    assert {r.claim_id: (r.block_id, r.tier) for r in matching.evidence(*frames).collect()} == wanted
+
+
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
 
