@@ -122,7 +122,7 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 @registry.add("p6_style_tree")
 def p6_style_tree(spark: SparkSession, root: str) -> DataFrame:
-    return markup.style_tree(markup.dom_nodes(_fields(spark, root)))
+    return markup.style_tree(markup.dom_nodes(_fields(spark, root))).drop("repeated")
 
 
 @registry.add("p6_clean")
