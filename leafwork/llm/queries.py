@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafwork.llm import canonical, markup, names, packing, personal, repeated, scans, split, tokens
 from leafwork.plans.registry import Query, Registry
@@ -58,7 +61,9 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 
 @registry.add("p4_canonical")
 def p4_canonical(spark: SparkSession, root: str) -> DataFrame:
-    return canonical.canonical_texts(table(spark, root, "gold_eligibility"), ("gold_id", "doc_id"))
+    sources = {"gold": ("gold_eligibility", "gold_id"), "criterion": ("extracted_criteria", "criterion_id"), "block": ("extracted_blocks", "block_id")}
+    parts = [table(spark, root, name).select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("row_id"), "doc_id", "text") for src, (name, key) in sources.items()]
+    return canonical.canonical_texts(reduce(DataFrame.unionByName, parts), ("src", "row_id", "doc_id"))
 
 
 def _repeated(spark: SparkSession, root: str) -> repeated.RepeatedLines:

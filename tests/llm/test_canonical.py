@@ -35,3 +35,19 @@ def test_look_alikes(spark):
     found = canonical.look_alikes(gold, {"block": (other, "row")})
     assert {tuple(r) for r in found.collect()} == {("block", 7, 2), ("block", 8, 1), ("block", 8, 2)}
     assert canonical.look_alikes(gold.where("false"), {"block": (other, "row")}).count() == 0
+
+
+def test_query_gives_the_form_of_all_three_tables(spark, tmp_path):
+    from leafwork.llm import queries
+
+    rows = {
+        "gold_eligibility": ("gold_id", [(1, "d", "Use\u00a0of 5 mg"), (2, "d", None)]),
+        "extracted_criteria": ("criterion_id", [(1, "d", "Use of 5 m\u200bg"), (3, None, "")]),
+        "extracted_blocks": ("block_id", [(1, "e", "\uff35se of 5 mg"), (1, "e", "\uff35se of 5 mg"), (4, "e", None)]),
+    }
+    for name, (key, values) in rows.items():
+        spark.createDataFrame(values, f"{key} bigint, doc_id string, text string").write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = queries.queries()["p4_canonical"](spark, str(tmp_path))
+    assert found.columns[:4] == ["src", "row_id", "doc_id", "canonical"]
+    form = "Use of 5 mg"
+    assert sorted(((r.src, r.row_id, r.doc_id, r.canonical) for r in found.collect()), key=str) == [("block", 1, "e", form), ("block", 1, "e", form), ("criterion", 1, "d", form), ("criterion", 3, None, ""), ("gold", 1, "d", form)]
