@@ -23,26 +23,36 @@ BOUNDARIES = (
     (2, regex.compile(r"[;:,|]\s+|[；：，、]|[.;:,!?|](?=\S)")),
     (1, regex.compile(r"\s+")),
 )
-UNBROKEN = r"[^\s.;:,!?|。；：，！？、]+"
-_UNBROKEN = regex.compile(UNBROKEN)
+_BREAKERS = r"\s.;:,!?|。；：，！？、"
+_UNBROKEN = regex.compile(rf"[^{_BREAKERS}]+")
+_EDGE = regex.compile(rf"(?<=[{_BREAKERS}])|(?=[{_BREAKERS}])")
 
 PIECE_SCHEMA = "piece_no int, n_pieces int, start_pos int, end_pos int, boundary int, piece string"
 
 
-def boundaries(text: str) -> tuple[list[int], dict[int, int]]:
-    """Positions at which the text may be cut, ascending, and the strength of each."""
+def boundaries(text: str) -> tuple[list[int], dict[int, int], list[int]]:
+    """Positions at which the text may be cut, ascending, the strength of each, and the positions on either side of every
+    blank and sign, which serve where no boundary is in reach."""
     strength: dict[int, int] = {}
     for level, pattern in BOUNDARIES:
         for match in pattern.finditer(text):
             strength.setdefault(match.end(), level)
     strength.pop(0, None)
     strength.pop(len(text), None)
-    return sorted(strength), strength
+    return sorted(strength), strength, [m.start() for m in _EDGE.finditer(text) if 0 < m.start() < len(text)]
 
 
-def longest_unbroken(text: str) -> int:
-    """Length of the longest run without white space and without clause punctuation."""
-    return max((m.end() - m.start() for m in _UNBROKEN.finditer(text)), default=0)
+def cut_kind(text: str, spans: list[tuple[int, int, int]], limit: int) -> str:
+    """'hard' if one of the cuts made falls inside a run longer than the limit without white space and clause
+    punctuation, else 'soft'. As no piece exceeds the limit, every such run is cut somewhere inside."""
+    ends = [b for _, b, _ in spans[:-1]]
+    at = 0
+    for run in _UNBROKEN.finditer(text):
+        if run.end() - run.start() > limit:
+            at = bisect_right(ends, run.start(), at)
+            if at < len(ends) and ends[at] < run.end():
+                return "hard"
+    return "soft"
 
 
 def _solid(text: str, at: int, low: int) -> int:
@@ -58,43 +68,53 @@ def _snap(marks: list[int], strength: dict[int, int], low: int, high: int, targe
     return max(window, key=lambda p: (strength[p], -abs(p - target)), default=None)
 
 
-def _attempt(text: str, n: int, limit: int, overlap: int, marks: list[int], strength: dict[int, int]) -> list[tuple[int, int, int]] | None:
+def _next_start(text: str, end: int, limit: int, overlap: int, start: int, marks: list[int], strength: dict[int, int], edges: list[int]) -> int:
+    """Where the piece after one from `start` to `end` begins: about `overlap` before the end, at a boundary if one is
+    near, and later where the next boundary could not be reached otherwise. Always after `start`, never after `end`."""
+    if not overlap:
+        return end
+    back = _snap(marks, strength, max(start, end - overlap - overlap // 2), end - overlap // 2, end - overlap)
+    begin = back if back is not None else _solid(text, end - overlap, start)
+    k = bisect_right(edges, end)
+    reach = (edges[k] if k < len(edges) else len(text)) - limit
+    return reach if begin < reach <= end else max(begin, start + 1)
+
+
+def _end(text: str, reach: int, high: int, target: float, marks: list[int], strength: dict[int, int], edges: list[int]) -> tuple[int, int]:
+    """The cut in (reach, high] and its strength: the strongest boundary, else the last edge, else a hard cut at the target."""
+    end = _snap(marks, strength, reach, high, target)
+    if end is not None:
+        return end, strength[end]
+    k = bisect_right(edges, high) - 1
+    if k >= 0 and edges[k] > reach:
+        return edges[k], 1
+    return _solid(text, max(reach + 1, min(int(target), high)), reach), 0
+
+
+def _attempt(text: str, n: int, limit: int, overlap: int, marks: list[int], strength: dict[int, int], edges: list[int]) -> list[tuple[int, int, int]] | None:
     """The pieces for n balanced targets as (start, end, strength of the cut at the end), or None if a limit fails."""
     size = len(text)
     step = (size - overlap) / n
     slack = max(1.0, min(step, limit) / 4)
-    pieces, start = [], 0
-    for i in range(1, n + 1):
-        if i == n:
-            if size - start > limit:
-                return None
-            pieces.append((start, size, 0))
-            break
+    pieces, start, reach = [], 0, 0
+    for i in range(1, n):
         target = min(i * step + overlap, size)
-        low, high = max(start + overlap, int(target - slack)), min(start + limit, int(target + slack))
+        low, high = max(reach, int(target - slack)), min(start + limit, int(target + slack))
         end = _snap(marks, strength, low, high, target) if high > low else None
-        cut = strength[end] if end is not None else 0
-        if end is None:
-            end = _snap(marks, strength, start + overlap, start + limit, target)
-            cut = strength[end] if end is not None else 0
-        if end is None:
-            end = _solid(text, min(int(target), start + limit), start + overlap)
-        if end <= start + overlap or end >= size:
+        end, cut = (end, strength[end]) if end is not None else _end(text, reach, start + limit, target, marks, strength, edges)
+        if end <= reach or end >= size:
             return None
         pieces.append((start, end, cut))
-        if overlap:
-            back = _snap(marks, strength, max(start, end - overlap - overlap // 2), end - overlap // 2, end - overlap)
-            start = back if back is not None else _solid(text, end - overlap, start)
-        else:
-            start = end
-    return pieces
+        start, reach = _next_start(text, end, limit, overlap, start, marks, strength, edges), end
+    return None if size - start > limit else [*pieces, (start, size, 0)]
 
 
 def split_spans(text: str, limit: int, overlap: int = 0) -> list[tuple[int, int, int]]:
     """Spans (start, end, strength of the cut at the end; 0 for a hard cut and for the last piece) that cover the text.
 
-    Every span has at most `limit` characters; consecutive spans share about `overlap` characters. An empty text or one
-    within the limit is one span. The overlap is bounded by half the limit, so that pieces always make progress.
+    Every span has at most `limit` characters; consecutive spans share about `overlap` characters, fewer where the next
+    natural boundary is out of reach otherwise, and each ends after the one before. An empty text or one within the
+    limit is one span. The overlap is bounded by half the limit, so that pieces always make progress.
     """
     if limit < 1:
         raise ValueError("limit must be positive")
@@ -102,21 +122,20 @@ def split_spans(text: str, limit: int, overlap: int = 0) -> list[tuple[int, int,
     if size <= limit:
         return [(0, size, 0)]
     overlap = max(0, min(overlap, (limit - 1) // 2))
-    marks, strength = boundaries(text)
+    marks, strength, edges = boundaries(text)
     least = -(-(size - overlap) // (limit - overlap))
     n, tries = least, 0
     while n <= 2 * least + 4 and tries < 12:
-        if pieces := _attempt(text, n, limit, overlap, marks, strength):
+        if pieces := _attempt(text, n, limit, overlap, marks, strength, edges):
             return pieces
         n, tries = n + 1 + n // 16, tries + 1
-    pieces, start = [], 0
+    pieces, start, reach = [], 0, 0
     while size - start > limit:
-        end = _snap(marks, strength, start + max(overlap, limit // 2), start + limit, start + limit)
-        cut = strength[end] if end is not None else 0
-        if end is None:
-            end = _solid(text, start + limit, start + overlap)
+        end, cut = _end(text, max(reach, start + limit // 2), start + limit, start + limit, marks, strength, edges)
+        if not cut:
+            end, cut = _end(text, reach, start + limit, start + limit, marks, strength, edges)
         pieces.append((start, end, cut))
-        start = max(end - overlap, start + 1)
+        start, reach = _next_start(text, end, limit, overlap, start, marks, strength, edges), end
     return [*pieces, (start, size, 0)]
 
 
@@ -126,8 +145,8 @@ def split_oversized(
     """The ordered pieces of every item whose text is longer than the limit of its scope.
 
     `limits` has one row per scope (scope, unit, max_size, overlap); only character limits are used, and it is a small
-    dimension that Spark broadcasts by its size. Result: `key`, `scope`, the columns of `keep`, cut ('hard' if a run
-    longer than the limit has no white space and no clause punctuation, else 'soft') and `PIECE_SCHEMA`. Null texts,
+    dimension that Spark broadcasts by its size. Result: `key`, `scope`, the columns of `keep`, cut (`cut_kind` of the
+    cuts made) and `PIECE_SCHEMA`. Null texts,
     texts within their limit and items whose scope has no limit give no rows; repeated items give their pieces each.
     """
     sizes = limits.where(F.col("unit") == "character").groupBy(F.col("scope").alias("__scope")).agg(F.min("max_size").alias("__limit"), F.max(F.coalesce("overlap", F.lit(0))).alias("__overlap"))
@@ -145,7 +164,7 @@ def split_oversized(
             rows = []
             for values, body, limit, overlap in zip(batch[kept].itertuples(index=False, name=None), batch["__text"], batch["__limit"], batch["__overlap"]):
                 spans = split_spans(body, int(limit), int(overlap))
-                cut = "hard" if longest_unbroken(body) > limit else "soft"
+                cut = cut_kind(body, spans, int(limit))
                 rows += [(*values, cut, i, len(spans), a, b, level, body[a:b]) for i, (a, b, level) in enumerate(spans)]
             yield pd.DataFrame(rows, columns=[*kept, "cut", "piece_no", "n_pieces", "start_pos", "end_pos", "boundary", "piece"])
 

@@ -1,11 +1,16 @@
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from leafwork.llm import split
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="ab .,;\n\n。漢é́", max_size=400), st.integers(1, 60), st.integers(0, 80))
+TEXTS = st.text(alphabet="ab .,;\n\n。漢é́”", max_size=400)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS, st.integers(1, 60), st.integers(0, 80))
+@example(";a\u0301; aa; ", 7, 3)
+@example(";á; aa; ", 7, 3)
 def test_spans_cover_within_limits(text, limit, overlap):
     spans = split.split_spans(text, limit, overlap)
     assert spans[0][0] == 0 and spans[-1][1] == len(text)
@@ -16,6 +21,18 @@ def test_spans_cover_within_limits(text, limit, overlap):
             assert c == b
 
 
+@settings(max_examples=400, deadline=None)
+@given(TEXTS, st.integers(1, 30), st.integers(0, 40))
+@example("a" * 10 + "." + "b" * 10, 10, 4)
+@example("aa " + " " * 50 + "bb", 5, 2)
+def test_hard_cuts_only_in_runs_above_the_limit(text, limit, overlap):
+    spans = split.split_spans(text, limit, overlap)
+    longest = max(map(len, split.regex.split(r"[\s.;:,!?|。；：，！？、]", text)))
+    assert split.cut_kind(text, spans, limit) == ("hard" if longest > limit else "soft")
+    if longest <= limit:
+        assert all(level > 0 for _, _, level in spans[:-1])
+
+
 def test_prefers_strong_boundaries():
     text = "One sentence here. " * 10 + "\n\n" + "Another sentence there. " * 8
     spans = split.split_spans(text, 220, 0)
