@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,3 +54,23 @@ def cut(frame: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows that a broadcast side may have at most; wider joins shuffle.
+BROADCAST_ROWS = 500_000
+#: Parts over which the rows of one key are spread in a salted join.
+SALTS = 16
+
+
+def bounded(small: DataFrame, large: DataFrame, on: list[str], spread: str | None = None, how: str = "inner") -> DataFrame:
+    """`large` joined with `small`, which is broadcast if it has at most BROADCAST_ROWS rows; it is counted for this.
+
+    Beyond that both are shuffled; with `spread`, a column of `large` whose values share out the rows of one key, the key
+    is salted by its hash, so that a key with a third of all rows is no single task.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return large.join(F.broadcast(small), on, how)
+    if spread is None:
+        return large.join(small, on, how)
+    salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return large.withColumn("__salt", F.pmod(F.hash(spread), F.lit(SALTS))).join(salted, [*on, "__salt"], how).drop("__salt")
