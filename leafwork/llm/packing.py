@@ -1,15 +1,17 @@
 """Problem 9: items of varying length packed into containers of fixed capacity.
 
 Hierarchical multi-length packing: every item is routed to the shortest context tier that holds it (capacity, and its
-halves down to a sixteenth). Tiers are packed from the longest down: a window is opened by the largest item left, and
-its gap is filled from the same and the shorter tiers with the largest item that fits, until none does. Containers are
-then dealt into step groups of equal size and balanced load. Items are spread by hash over shards of bounded size, which
-are packed apart; only the last window of a shard can stay open, so the loss does not grow with the number of items.
+halves down to a sixteenth). Each tier is packed by itself into windows of its own context size, best fit decreasing.
+Then the gaps of the windows, those of the longest tier first, are filled with the largest items of shorter tiers that
+fit. The windows of all tiers are laid into containers, longest first and each where it fits best, and what then stays
+open is filled once more. Containers are dealt into step groups of equal size with the same share of each tier and
+balanced attention cost. Items are spread by hash over shards of bounded size, which are packed apart; only the last
+containers of a shard can stay open, so the loss does not grow with the number of items.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -22,6 +24,8 @@ from leafwork.session import cut
 SHARD_ITEMS = 50_000
 TIERS = 5
 GROUP = 8
+#: A container with less than this share of its capacity open is closed; the others' windows are opened again.
+OPEN_SHARE = 1 / 256
 
 
 def tier_of(sizes: np.ndarray, capacity: int, tiers: int = TIERS) -> np.ndarray:
@@ -32,47 +36,95 @@ def tier_of(sizes: np.ndarray, capacity: int, tiers: int = TIERS) -> np.ndarray:
     return out
 
 
-def pack(sizes: np.ndarray, capacity: int, tiers: int = TIERS) -> np.ndarray:
-    """Container number of each item (0-based); sizes must be within [0, capacity].
-
-    Items of one size are interchangeable and taken in their given order, so the result is deterministic. Items of size
-    zero go to the first container.
+class _Sizes:
+    """Items of equal size on stacks, the sizes in order: the largest that fits a gap is found by bisection."""
+
+    def __init__(self, sizes: np.ndarray, at: list[int]) -> None:
+        self.stacks: dict[int, list[int]] = {}
+        for i in reversed(at):
+            self.stacks.setdefault(int(sizes[i]), []).append(i)
+        self.order = sorted(self.stacks)
+
+    def take(self, gap: int) -> tuple[int, int] | None:
+        """(item, size) of the largest item of at most `gap`, which is taken away; None if there is none."""
+        k = bisect_right(self.order, gap)
+        if not k:
+            return None
+        size = self.order[k - 1]
+        item = self.stacks[size].pop()
+        if not self.stacks[size]:
+            del self.stacks[size], self.order[k - 1]
+        return item, size
+
+
+def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
+    """Bins of item numbers: items from large to small, each into the fullest bin that holds it."""
+    bins: list[list[int]] = []
+    gaps: list[tuple[int, int]] = []
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        k = bisect_left(gaps, (sizes[i], -1))
+        if k < len(gaps):
+            gap, number = gaps.pop(k)
+            bins[number].append(i)
+        else:
+            gap, number = capacity, len(bins)
+            bins.append([i])
+        insort(gaps, (gap - sizes[i], number))
+    return bins
+
+
+def pack(sizes: np.ndarray, capacity: int, tiers: int = TIERS) -> tuple[np.ndarray, np.ndarray]:
+    """(container, window) of each item, both counted from 0; sizes must be within [0, capacity].
+
+    Ties go to the item given first, so the result is deterministic. Items of size zero lie in the first window.
     """
-    stacks: dict[int, list[int]] = {}
-    for at in np.argsort(-sizes, kind="stable")[::-1].tolist():
-        stacks.setdefault(int(sizes[at]), []).append(at)
-    empty = stacks.pop(0, [])
-    shelves = [sorted(s for s in stacks if tier_of(np.array([s]), capacity, tiers)[0] == k) for k in range(tiers)]
-    container = np.zeros(len(sizes), np.int64)
-    number = -1
-    for k, shelf in enumerate(shelves):
-        while shelf:
+    tier = tier_of(sizes, capacity, tiers)
+    place = [np.flatnonzero((tier == k) & (sizes > 0)).tolist() for k in range(tiers)]
+    windows: list[tuple[list[int], int, int]] = []
+    shorter = [_Sizes(sizes, at) for at in place]
+    for k in range(tiers):
+        left = sorted(i for stack in shorter[k].stacks.values() for i in stack)
+        shorter[k] = _Sizes(sizes, [])
+        own = [[left[i] for i in one] for one in best_fit([int(sizes[i]) for i in left], capacity >> k)]
+        for items in own:
+            gap = (capacity >> k) - int(sizes[items].sum())
+            for level in range(k + 1, tiers):
+                while gap and (found := shorter[level].take(gap)):
+                    items.append(found[0])
+                    gap -= found[1]
+            windows.append((items, (capacity >> k) - gap, k))
+    container, window = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    laid = best_fit([fill for _, fill, _ in windows], capacity)
+    # The windows of containers that stay open are opened again: their items fill the gaps of the others.
+    loads = [sum(windows[w][1] for w in one) for one in laid]
+    full = [load >= capacity * (1 - OPEN_SHARE) for load in loads]
+    spare = _Sizes(sizes, sorted(i for c, one in enumerate(laid) if not full[c] for w in one for i in windows[w][0]))
+    number = count = 0
+    for c in sorted((c for c in range(len(laid)) if full[c]), key=lambda c: loads[c]):
+        for w in laid[c]:
+            container[windows[w][0]], window[windows[w][0]] = count, number
+            number += 1
+        gap = capacity - loads[c]
+        while gap and (found := spare.take(gap)):
+            container[found[0]], window[found[0]] = count, number
+            number, gap = number + 1, gap - found[1]
+        count += 1
+    rest = sorted(i for stack in spare.stacks.values() for i in stack)
+    for one in best_fit([int(sizes[i]) for i in rest], capacity):
+        for i in one:
+            container[rest[i]], window[rest[i]] = count, number
             number += 1
-            gap = capacity
-            level = k
-            while level < tiers:
-                here = shelves[level]
-                fit = bisect_right(here, gap)
-                if not fit:
-                    level += 1
-                    continue
-                size = here[fit - 1]
-                container[stacks[size].pop()] = number
-                if not stacks[size]:
-                    del here[fit - 1]
-                gap -= size
-                if not gap:
-                    break
-    container[empty] = 0
-    return container
-
-
-def balanced_groups(loads: np.ndarray, group: int = GROUP) -> np.ndarray:
-    """Step group of each container: containers, heaviest first, are dealt back and forth over the groups."""
-    groups = max(1, -(-len(loads) // group))
-    order = np.argsort(-loads, kind="stable")
-    turn, place = np.divmod(np.arange(len(loads)), groups)
-    out = np.empty(len(loads), np.int64)
+        count += 1
+    return container, window
+
+
+def balanced_groups(costs: np.ndarray, kinds: np.ndarray, group: int = GROUP) -> np.ndarray:
+    """Step group of each container: containers are dealt back and forth over the groups, kind by kind and the costliest
+    first, so that every group has the same number of each kind (give or take one) and about the same cost."""
+    groups = max(1, -(-len(costs) // group))
+    order = np.lexsort((-costs, kinds))
+    turn, place = np.divmod(np.arange(len(costs)), groups)
+    out = np.empty(len(costs), np.int64)
     out[order] = np.where(turn % 2 == 0, place, groups - 1 - place)
     return out
 
@@ -87,10 +139,11 @@ def items(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_t
 
 
 def pack_items(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", group: int = GROUP) -> DataFrame:
-    """key, part_no, start, size, tier, container_id, fill (of the container), step_group.
+    """key, part_no, start, size, tier, container_id, window_id, fill (of the container), step_group.
 
     Every row of `sizes` (key, size) comes out; null sizes count as zero. No item is split unless it exceeds the
-    capacity; the parts of one that does are consecutive ranges. container_id and step_group are unique over all shards.
+    capacity; the parts of one that does are consecutive ranges. container_id, window_id and step_group are unique
+    over all shards; an item attends to its own window only.
     Ties are broken by key and part, so that a rerun gives the same containers. An empty input gives no rows.
     """
     if capacity < 1:
@@ -99,19 +152,27 @@ def pack_items(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str =
     shards = max(1, -(-small.count() // SHARD_ITEMS))
     spread = items(small, capacity, key, size).withColumn("shard", F.pmod(F.xxhash64(key, "part_no"), F.lit(shards)).cast("int"))
     kind = spread.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, part_no int, start int, size int, tier int, container_id bigint, fill int, step_group bigint"
+    schema = f"`{key}` {kind}, part_no int, start int, size int, tier int, container_id bigint, window_id bigint, fill int, step_group bigint"
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([key, "part_no"], kind="stable").reset_index(drop=True)
         numbers = frame["size"].to_numpy(np.int64)
-        container = pack(numbers, capacity)
+        container, window = pack(numbers, capacity)
         loads = np.bincount(container, weights=numbers).astype(np.int64)
+        tier = tier_of(numbers, capacity)
+        # Attention costs the square of a window's length; a container is of the kind of its longest tier.
+        spans, kinds = np.bincount(window, weights=numbers), np.full(len(loads), TIERS)
+        cost = np.zeros(len(loads))
+        first = np.unique(window, return_index=True)[1]
+        np.add.at(cost, container[first], spans[window[first]] ** 2)
+        np.minimum.at(kinds, container, tier)
         base = int(frame["shard"].iloc[0]) << 32
-        frame["tier"] = tier_of(numbers, capacity)
+        frame["tier"] = tier
         frame["container_id"] = base + container
+        frame["window_id"] = base + window
         frame["fill"] = loads[container]
-        frame["step_group"] = base + balanced_groups(loads, group)[container]
-        return frame.drop(columns="shard")
+        frame["step_group"] = base + balanced_groups(cost, kinds, group)[container]
+        return frame[[key, "part_no", "start", "size", "tier", "container_id", "window_id", "fill", "step_group"]]
 
     return spread.groupBy("shard").applyInPandas(run, schema)
 

@@ -51,19 +51,39 @@ def test_ids_over_spark(spark):
 @given(st.lists(st.integers(0, 64), max_size=200))
 def test_pack_is_valid_and_tight(sizes):
     sizes = np.array(sizes, np.int64)
-    container = packing.pack(sizes, 64)
+    container, window = packing.pack(sizes, 64)
     loads = np.bincount(container, weights=sizes) if len(sizes) else np.array([])
     assert (loads <= 64).all()
     least = -(-int(sizes.sum()) // 64)
     assert len(loads) <= max(1, int(np.ceil(11 / 9 * max(least, (sizes > 32).sum()) + 1)))
     assert len(sizes) == 0 or set(container) == set(range(container.max() + 1))
+    assert all(len(set(container[window == w])) == 1 for w in set(window))
+    for w in set(window):  # a window is no longer than the context of its longest item's tier
+        own = sizes[window == w]
+        assert own.sum() <= 64 >> packing.tier_of(np.array([own.max()]), 64)[0]
+
+
+def test_tiers_matter():
+    rng = np.random.default_rng(7)
+    sizes = np.minimum(rng.lognormal(4.5, 1.2, 20_000), 2048).astype(np.int64)
+    tiered, windows = packing.pack(sizes, 2048)
+    flat, whole = packing.pack(sizes, 2048, tiers=1)
+    assert (tiered != flat).mean() > 0.5 and len(set(windows)) > 2 * len(set(whole))
+    loads = np.bincount(tiered, weights=sizes)
+    assert 1 - sizes.sum() / (len(loads) * 2048) < 0.001
+    # What is attended to is far less, as short items share short windows.
+    spans = [np.bincount(w, weights=sizes) for w in (windows, whole)]
+    assert (spans[0] ** 2).sum() < 0.6 * (spans[1] ** 2).sum()
 
 
 def test_groups_are_balanced():
     loads = np.arange(64)
-    groups = packing.balanced_groups(loads, 8)
+    groups = packing.balanced_groups(loads, np.zeros(64), 8)
     per = np.bincount(groups, weights=loads)
     assert np.bincount(groups).tolist() == [8] * 8 and per.max() - per.min() <= 8
+    kinds = np.repeat([0, 1, 2], [16, 40, 8])
+    mixed = packing.balanced_groups(loads, kinds, 8)
+    assert all(np.bincount(mixed[kinds == k]).tolist() == [n] * 8 for k, n in ((0, 2), (1, 5), (2, 1)))
 
 
 def test_pack_over_spark(spark, monkeypatch):
