@@ -122,18 +122,17 @@ def _fields(spark: SparkSession, root: str) -> DataFrame:
 
 @registry.add("p6_found")
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
-    return markup.found_markup(markup.dom_nodes(_fields(spark, root)))
+    return markup.found_markup(markup.dom_nodes(markup.pages(_fields(spark, root))))
 
 
 @registry.add("p6_style_tree")
 def p6_style_tree(spark: SparkSession, root: str) -> DataFrame:
-    return markup.style_tree(markup.dom_nodes(_fields(spark, root))).drop("repeated")
+    return markup.StyleTree(_fields(spark, root)).tree()
 
 
 @registry.add("p6_clean")
 def p6_clean(spark: SparkSession, root: str) -> DataFrame:
-    values = _fields(spark, root)
-    return markup.clean_fields(values, markup.low_branches(markup.style_tree(markup.dom_nodes(values))))
+    return markup.StyleTree(_fields(spark, root)).cleaned()
 
 
 @registry.add("p8_ids")
