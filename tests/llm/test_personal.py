@@ -20,6 +20,10 @@ def found(text):
         ("envío a Calle de Honout 293, 99587 Brom.", "Calle de Honout 293, 99587 Brom", "address"), ("请寄至望湖路193号2单元451室。", "望湖路193号2单元451室", "address"),
         ("Mrs Rodraet moved", "Rodraet", "name"), ("Signed by Johannes Hedeitett (x)", "Johannes Hedeitett", "name"), ("Next of kin: Narolham, Nathaniel, tel", "Narolham, Nathaniel", "name"),
         ("Frau Dr. Ingrid Pavann unter", "Ingrid Pavann", "name"), ("week 3. W. Gohond telephoned the site", "W. Gohond", "name"), ("THEODORE GIVEVETT telephoned", "THEODORE GIVEVETT", "name"),
+        ("Xiomara Quispe called twice", "Xiomara Quispe", "name"), ("then Priya Raghunathan lives at home", "Priya Raghunathan", "name"), ("Ngozi A. Okonkwo-Bell can be reached by post", "Ngozi A. Okonkwo-Bell", "name"),
+        ("to 12 Maple Grove, please", "12 Maple Grove", "address"), ("mail juan.pérez@exämple.com now", "juan.pérez@exämple.com", "email"), ("x " + "a" * 90 + "@b.test", "a" * 90 + "@b.test", "email"),
+        ("at 12 " + "Ab" * 60 + " Street and", "12 " + "Ab" * 60 + " Street", "address"), ("in " + "N" + "e" * 80 + "allee 48 und", "N" + "e" * 80 + "allee 48", "address"),
+        ("邮箱abc@x.test。", "abc@x.test", "email"),
     ],
 )
 def test_mentions(text, mention, kind):
@@ -30,7 +34,7 @@ def test_mentions(text, mention, kind):
     "text",
     ["", "   ", "Lot 948-555-0162 expires on 2027-06-14.", "Kit number 939 06 0654 was dispensed to site 426.", "Software version 987.65.27 was validated @ 24 months.",
      "The Robixmoor Memorial Centre screened 644 participants.", "the Tuweiswell index and the Thaflatwell-Waetrovsen scale", "Specimen ZZ-20456 was stored in Street Clinic freezer 740.",
-     "Dose cohort 1-627-555 enrolled 627 adults", "See https://portal.example/study/175648/contact.", "participants with hepatitis B. Reducing the dose", "reference 01632-9 units"],
+     "Dose cohort 1-627-555 enrolled 627 adults", "See https://portal.example/study/175648/contact.", "participants with hepatitis B. Reducing the dose", "reference 01632-9 units", "The Data Monitoring Committee called a meeting", "The Robixmoor Thaflat called for", "a scale called Robix", "Protocol number" + " " * 60 + "948-555-0162 x"],
 )
 def test_no_cases(text):
     assert found(text) == []
@@ -50,3 +54,12 @@ def test_offsets_are_code_points(spark):
     assert [tuple(r) for r in rows] == [(1, "name", text.index("Rodraet"))]
     assert {r.doc_id: r.n_mentions for r in personal.redacted(frame).collect()} == {1: 1, 2: 0, 3: 0}
     assert personal.mentions(frame.where("false")).count() == 0
+
+
+def test_long_and_dense_texts():
+    text = "Mr Watres, a@b.test, (415) 555-0195; " * 5_000
+    got = personal.find_mentions(text)
+    assert len(got) == 15_000 and got == sorted(got) and all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+    assert personal.redact(text) == "Mr [NAME], [EMAIL], [PHONE]; " * 5_000
+    digits = "1 2 3 4 5 6 7 8 9 0 " * 20_000 + "@" * 20_000 + "a" * 100_000 + "@"
+    assert personal.find_mentions(digits) == []
