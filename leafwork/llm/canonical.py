@@ -7,20 +7,24 @@ letters are levelled; case, raised digits, accents, signs, words and markup are
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values. Look-alike letters of Cyrillic and Greek, each with the Latin letter it is printed like.
-CYRILLIC_FROM, CYRILLIC_TO = "АВЕЅІЈКМНОРСТУХԌԚԜаеѕіјорсухһԁԛԝҮүЀЁЇѐёї", "ABESIJKMHOPCTYXGQWaesijopcyxhdqwYyÈËÏèëï"
-GREEK_FROM, GREEK_TO = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳν", "ABEZHIKMNOPTYXocjv"
-# Compatibility letters that are drawn as other letters are (micro, Kelvin and ohm signs).
-SAME_FROM, SAME_TO = "\u00b5\u212a\u2126", "\u03bcK\u03a9"
+# Letters that are printed like Latin ones, by script, each with the Latin letter (accented ones with theirs).
+CYRILLIC_FROM, CYRILLIC_TO = "АВЕЅІЈКМНОРСТУХԌԚԜаеѕіјорсухһԁԛԝҮүЀЁЇѐёїӀӏѴѵӔӕӘә", "ABESIJKMHOPCTYXGQWaesijopcyxhdqwYyÈËÏèëïIlVvÆæƏə"
+GREEK_FROM, GREEK_TO = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳνϹͿό", "ABEZHIKMNOPTYXocjvCJó"
+ARMENIAN_FROM, ARMENIAN_TO = "ՍՏՕԼօսոհցզ", "USOLounhgq"
+CHEROKEE_FROM, CHEROKEE_TO = "ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃᏀ", "ABCDEHJKLMPRSTVWZG"
+LATIN_FROM, LATIN_TO = "ɑɡ", "ag"
+# Compatibility letters that are drawn as other letters are (micro, Kelvin, Angstrom and ohm signs).
+SAME_FROM, SAME_TO = "\u00b5\u212a\u212b\u2126", "\u03bcK\u00c5\u03a9"
 HYPHENS = "\u2010\u2011\ufe63\uff0d"
-SPACES = "               　\t"
-INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFF9}-\x{FFFB}\x{E0000}-\x{E0FFF}]"
+SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u2800\u3000\t"
+INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{FFF9}-\x{FFFB}\x{1D173}-\x{1D17A}\x{E0000}-\x{E0FFF}]"
 # Forms of several letters, each with what they are printed like.
 SEVERAL = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"), ("℃", "°C"), ("℉", "°F"), ("№", "No"), ("…", "..."), ("Ǆ", "DŽ"), ("ǆ", "dž"), ("Ǉ", "LJ"), ("ǉ", "lj"), ("Ǌ", "NJ"), ("ǌ", "nj"))
 ROMAN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "L", "C", "D", "M")
@@ -32,12 +36,14 @@ def _tables() -> list[tuple[str, str, str]]:
     DuckDB's translate builds its map for each row, so the long tables, made by rule, stand apart behind a test of
     whether the text has any of their characters.
     """
-    wide = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F) if chr(c) not in HYPHENS}
+    forms = {c: unicodedata.decomposition(chr(c)).split() for c in range(0xFF01, 0xFFEF)}
+    wide = {chr(c): chr(int(form[1], 16)) for c, form in forms.items() if form and form[0] in ("<wide>", "<narrow>") and chr(c) not in HYPHENS}
     styled = {chr(start + i): chr(0x41 + i if i < 26 else 0x61 + i - 26) for start in range(0x1D400, 0x1D6A4, 52) for i in range(52)}
     styled |= {chr(0x1D7CE + i): str(i % 10) for i in range(50)}
-    twins = dict(zip(CYRILLIC_FROM, CYRILLIC_TO)) | dict(zip(GREEK_FROM, GREEK_TO)) | dict(zip(SAME_FROM, SAME_TO)) | dict.fromkeys(HYPHENS, "-")
+    pairs = (CYRILLIC_FROM, CYRILLIC_TO), (GREEK_FROM, GREEK_TO), (ARMENIAN_FROM, ARMENIAN_TO), (CHEROKEE_FROM, CHEROKEE_TO), (LATIN_FROM, LATIN_TO), (SAME_FROM, SAME_TO)
+    twins = {a: b for one, other in pairs for a, b in zip(one, other, strict=True)} | dict.fromkeys(HYPHENS, "-")
     blanks = dict.fromkeys(SPACES, " ")
-    parts = (("[" + SPACES + "]", blanks), ("[\\x{FF01}-\\x{FF5E}]", wide), ("[\\x{1D400}-\\x{1D7FF}]", styled), ("[^\\x00-\\xFF]|" + SAME_FROM[0], twins))
+    parts = (("[" + SPACES + "]", blanks), ("[\\x{FF01}-\\x{FFEE}]", wide), ("[\\x{1D400}-\\x{1D7FF}]", styled), ("[^\\x00-\\xFF]|" + SAME_FROM[0], twins))
     return [(marks, "".join(table), "".join(table.values())) for marks, table in parts]
 
 

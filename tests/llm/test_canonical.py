@@ -12,6 +12,8 @@ def test_same_look(spark):
         ("Use of 5 mg", "Use\u00a0of\u20095\u202fmg", "\ufeffUse of 5 mg\u200b", "\uff35\uff53\uff45 of \uff15 mg", "U\u0455\u0435 \u043ef 5 mg", " Use of 5 mg "),
         ("Caf\u00e9-au-lait", "Cafe\u0301-au-lait", "Caf\u00e9\u2011au\u2010lait", "Caf\u00e9\u00ad-au-lait"),
         ("\u00b5g at 5 \u00b0C", "\u03bcg at 5 \u2103"),
+        ("\u30ac\u30c7\u30b9\u30fb\u300c\u3002\u300d", "\uff76\uff9e\uff83\uff9e\uff7d\uff65\uff62\uff61\uff63"), ("\u00a2 \u00a3 \u00ac \u00a6 \u00a5 \u20a9", "\uffe0 \uffe1 \uffe2 \uffe4 \uffe5 \uffe6"),
+        ("USA Oslo", "\u054d\u054f\u0410 \u0555sl\u0585"), ("HELP", "\u13bb\u13ac\u13de\u13e2"), ("a l g", "\u0251 \u04cf \u0261"), ("5 \u00c5", "5 \u212b"), ("a b", "a\u3164 \u2060b", "a\u2800b", "\uffa0a b"),
         ("confirmed III K", "con\ufb01rmed \u2162 \u212a"),
         ("\u0440\u0435\u0432\u043c\u0430\u0442\u043e\u0438\u0434\u043d\u044b\u0439", "\u0440\u0435\u0432\u043c\u0430\u0442\u043e\u0438\u0434\u043d\u044b\u0438\u0306"),
     ]
