@@ -1,14 +1,15 @@
 """Problem 2: noise in text from scanned pages.
 
 Words of the whole corpus are counted and grouped by their confusable-glyph skeleton: a letter-wise rewriting under
-which a misread word and the word it stands for become equal. In each group the frequent form, supported by the
-unbroken occurrences in all documents, wins over the rare ones. Line-end hyphens are judged by whether the corpus
-writes the word joined or as a compound; lines at the edges of pages are keyed by their skeleton with the page number
-masked and counted over the pages of their document; page numbers must follow their page at one offset per document.
-
-Two passes over the text run in Arrow batches. The first counts words per partition. The second emits only what may be
-noise: its filter for misread words is a Bloom filter of fixed size, so that what is broadcast does not grow with the
-corpus; an exact join with the word table follows.
+which a misread word and the word it stands for become equal. In each group the frequent form wins over the rare ones,
+if the context supports it: where the frequencies leave a form open, the words on either side decide, by how often the
+corpus has either form between them. Line-end hyphens are judged by whether the corpus writes the word joined or as a
+compound; lines at the edges of pages are keyed by their skeleton with the page number masked and counted over the pages
+of their document; page numbers must follow their page at one offset per document.
+
+Three passes over the text run in Arrow batches: words are counted per partition, what may be noise is emitted, and the
+pairs of neighbours that the open forms ask for are counted. The second and third look through Bloom filters sized by
+what they hold, up to MOST_BITS; beyond, they let more through, and an exact join follows in any case.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafwork.operators.ordered import distinct_blocks, neighbour, running_sum, segmented
-from leafwork.session import cut
+from leafwork.operators.ordered import neighbour, running_sum, segmented
+from leafwork.session import bounded, cut, shuffle_partitions
 
 # What each glyph is broken into, so that glyphs confused with each other get equal skeletons.
 GLYPHS = {
@@ -48,8 +49,8 @@ _ROMAN = re.compile(r"m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3
 _ROMAN_VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 _NUMBER = re.compile(r"\d[\d.,/:%-]*")
 
-LONGEST_WORD = 64
-BLOOM_BITS = 1 << 24
+#: Size of a Bloom filter at most (128 MB); below, it has 16 bits for each member.
+MOST_BITS = 1 << 30
 
 
 def skeleton(word: str) -> str:
@@ -66,7 +67,7 @@ def skeleton_column(word: Column) -> Column:
 def _words(chunk: str) -> list[str]:
     """The words of a chunk without blanks: itself, and the parts of a compound without digits."""
     word = chunk.strip(_EDGES).lower()
-    if not word or len(word) > LONGEST_WORD:
+    if not word:
         return []
     parts = _PARTS.split(word)
     if len(parts) > 1 and not any(c.isdigit() for c in word):
@@ -104,54 +105,85 @@ def word_table(blocks: DataFrame, text: str = "text") -> DataFrame:
                 yield flush()
         yield flush()
 
-    counted = blocks.where(F.length(text) > 0).select(text).mapInArrow(run, "word string, n bigint")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = blocks.where(F.length(text) > 0).select(text).mapInArrow(run, "word string, n bigint").withColumn("skel", skeleton_column(F.col("word")))
+    spread = counted.repartition(shuffle_partitions(blocks.sparkSession), "skel")
+    group = Window.partitionBy("skel")
+    summed = spread.groupBy("skel", "word").agg(F.sum("n").alias("n")).withColumns({"top": F.max(F.struct("n", "word")).over(group), "total": F.sum("n").over(group)})
+    return summed.select("word", "n", "skel", F.col("top.word").alias("best"), F.col("top.n").alias("best_n"), "total")
 
 
 def word_groups(words: DataFrame) -> DataFrame:
-    """skel, best (the most frequent form), best_n, total: one row per skeleton."""
-    keyed = words.withColumn("skel", skeleton_column(F.col("word")))
-    top = F.max(F.struct("n", "word")).alias("top")
-    return keyed.groupBy("skel").agg(top, F.sum("n").alias("total")).select("skel", F.col("top.word").alias("best"), F.col("top.n").alias("best_n"), "total")
+    """skel, best, best_n, total: one row per skeleton."""
+    return words.where(F.col("word") == F.col("best")).select("skel", "best", "best_n", "total")
 
 
-def misread_words(words: DataFrame, groups: DataFrame, ratio: int = 10, least: int = 5) -> DataFrame:
-    """word, best: forms outweighed by another form of their skeleton.
+def judged_words(words: DataFrame, ratio: int = 10, least: int = 5, seen: int = 3) -> DataFrame:
+    """word, best, misread, open: forms that another form of their skeleton outweighs.
 
-    The winner must have `least` occurrences and `ratio` times those of the form; five times as much for words under
-    four letters and for tokens with digits, among which true neighbours abound. A form with a sign or digit between
-    letters that its winner lacks needs only a third of the ratio.
+    misread: by frequency alone. The winner must have `least` occurrences and `ratio` times those of the form; five times
+    as much for words under four letters and for tokens with digits, among which true neighbours abound. A form with a
+    sign or digit between letters that its winner lacks needs only a third of the ratio. open: the context decides, for
+    forms with `seen` occurrences or more, as these may be words of their own, for forms outweighed by a third of what is
+    needed, and for numbers read with a letter.
     """
-    keyed = words.withColumn("skel", skeleton_column(F.col("word")))
     short = (F.length("best") < 4) | F.col("best").rlike(r"\d")
     odd = F.col("word").rlike(r"[!@$|0-9]") & ~F.col("best").rlike(r"[!@$|0-9]")
-    need = F.when(short, ratio * 5).when(odd, F.lit(ratio / 3)).otherwise(ratio)
-    return (
-        keyed.join(groups, "skel")
-        .where((F.col("word") != F.col("best")) & F.col("best").rlike(r"\p{L}") & (F.length("best") > 1))
-        .where((F.col("best_n") >= F.when(short, least * 20).otherwise(least)) & (F.col("best_n") >= F.col("n") * need))
-        .select("word", "best")
-    )
-
-
-def _bits(word: str) -> tuple[int, int]:
-    h = xxhash.xxh3_64_intdigest(word)
-    return h & (BLOOM_BITS - 1), (h >> 32) & (BLOOM_BITS - 1)
+    need = F.when(short, ratio * 5.0).when(odd, F.lit(ratio / 3)).otherwise(F.lit(float(ratio)))
+    lettered = F.col("best").rlike(r"\p{L}")
+    number = F.col("best").rlike(r"^[0-9][0-9.,]*$") & F.col("word").rlike("[0-9]") & F.col("word").rlike(r"\p{L}")
+    common = F.col("best_n") >= F.when(short, least * 20).otherwise(least)
+    outweighed = lettered & common & (F.col("best_n") >= F.col("n") * need)
+    near = (lettered | number) & common & (F.col("best_n") >= F.col("n") * need / 3)
+    kept = words.where((F.col("word") != F.col("best")) & (F.length("best") > 1) & (outweighed | near))
+    return kept.select("word", "best", outweighed.alias("misread"), (~outweighed | (F.col("n") >= seen)).alias("open"))
+
+
+class Bloom:
+    """A Bloom filter over 64-bit hashes with two bits for each."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        h = hashes.view(np.uint64)
+        out = np.ones(len(h), bool)
+        for at in (h & self.mask, (h >> np.uint64(32)) & self.mask):
+            out &= (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+
+def bloom_filter(hashes: DataFrame) -> bytes:
+    """Bits of the filter over the column `h`, 16 for each row and MOST_BITS at most; the driver gets its longs."""
+    n = hashes.count()
+    bits = min(MOST_BITS, 1 << max(12, (16 * n).bit_length()))
+    place = lambda h: (F.shiftrightunsigned(h.bitwiseAND(F.lit(bits - 1)), 6).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int")).alias("bits"))
+    both = hashes.select(*place(F.col("h"))).unionByName(hashes.select(*place(F.shiftrightunsigned("h", 32))))
+    found = both.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas()
+    longs = np.zeros(bits // 64, np.int64)
+    longs[found["slot"].to_numpy()] = found["bits"].to_numpy()
+    return longs.tobytes()
 
 
-def bloom_filter(words: DataFrame) -> bytes:
-    """Bits of the words, always BLOOM_BITS / 8 bytes: at most BLOOM_BITS / 64 longs come to the driver."""
+def _hashed(column: str):
+    """Function over Arrow batches: the 64-bit hash of each string of the column, as h."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.array([b for w in batch.column(0).to_pylist() for b in _bits(w)], np.int64)
-            place = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(place)], ["slot", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([_hash(w) for w in batch.column(0).to_pylist()], pa.int64())], ["h"])
 
-    found = words.select("word").mapInArrow(run, "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas()
-    longs = np.zeros(BLOOM_BITS // 64, np.int64)
-    longs[found["slot"].to_numpy()] = found["bits"].to_numpy()
-    return longs.tobytes()
+    return run
+
+
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+
+
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of two neighbours from the hashes of both."""
+    with np.errstate(over="ignore"):
+        mixed = left.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ right.view(np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
 
 def line_keys(line: str, page: int) -> list[str]:
@@ -173,18 +205,14 @@ def line_keys(line: str, page: int) -> list[str]:
 
 
 def line_hashes(line: str, page: int | None) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(k) - (1 << 63) for k in line_keys(line, page or 0)]
+    return [_hash(k) for k in line_keys(line, page or 0)]
 
 
 def page_number(line: str) -> int | None:
     """The number of a line that holds nothing but a page number in some notation, else None."""
-    if len(line) > 40:
-        return None
-    tokens = _LINE_TOKEN.findall(line.lower())
-    if not tokens or len(tokens) > 5:
-        return None
     numbers: list[int] = []
-    for token in tokens:
+    for match in _LINE_TOKEN.finditer(line.lower()):
+        token = match[0]
         digits = token.translate(_DIGITS)
         if any(c.isdigit() for c in token) and digits.isdigit() and len(digits) < 7:
             numbers.append(int(digits))
@@ -205,40 +233,63 @@ def page_number(line: str) -> int | None:
 
 
 SIGN_SCHEMA = "block_id bigint, doc_id string, page_num int, order_index int, kind string, num bigint, a string, b string"
+#: Lines at either edge of a block that are keyed at first; as many more follow wherever all of them are running lines.
+EDGE = 2
+
+
+def _edge_rows(where: tuple, lines: list[str], low: int, high: int, page: int | None, sides: str = "hf") -> list[tuple]:
+    """Signs of the lines number `low` to `high` from the head (h) or foot (f); a tells the places, b whether lines lie
+    further in."""
+    found: dict[str, list[str]] = {}
+    for i in range(low, min(high, len(lines))):
+        for side in sides:
+            found.setdefault(lines[i if side == "h" else -1 - i], []).append(f"{side}{i}")
+    more = "more" if len(lines) > high else None
+    return [(*where, "edge", h, " ".join(places), more) for line, places in found.items() for h in line_hashes(line, page)]
+
+
+def _content(text: str) -> tuple[list[str], list[str]]:
+    """The lines of a text that are not blank, and those of them that are no page numbers."""
+    lines = [s for s in map(str.strip, text.split("\n")) if s]
+    return lines, [s for s in lines if page_number(s) is None]
 
 
-def _signs(bits: bytes):
+def _signs(settled: bytes, open_: bytes):
     """Function over Arrow batches (block_id, doc_id, page_num, order_index, text) that emits signs of noise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longs = np.frombuffer(bits, np.uint64)
-        good: set[str] = set()
-        bad: dict[str, list[str]] = {}
-
-        def suspects(chunk: str) -> list[str]:
-            found = []
-            for word in _words(chunk):
-                one, two = _bits(word)
-                if int(longs[one >> 6]) >> (one & 63) & 1 and int(longs[two >> 6]) >> (two & 63) & 1:
-                    found.append(word)
-            return found
+        filters = [Bloom(np.frombuffer(b, np.uint64)) for b in (settled, open_)]
+        known: dict[str, tuple[list[str], list[str]] | None] = {}
+
+        def look(chunks: list[str]) -> None:
+            """Enters what the chunks may hold into `known`: (settled, open) words, or None for nothing."""
+            words = [(c, w) for c in chunks for w in _words(c)]
+            hashes = np.array([_hash(w) for _, w in words], np.int64)
+            hits = [f.has(hashes) for f in filters]
+            known.update(dict.fromkeys(chunks))
+            for k in np.flatnonzero(hits[0] | hits[1]):
+                chunk, word = words[k]
+                entry = known[chunk] = known[chunk] or ([], [])
+                for kind in (0, 1):
+                    if hits[kind][k]:
+                        entry[kind].append(word)
 
         for batch in batches:
             rows: list[tuple] = []
             columns = [c.to_pylist() for c in batch.columns]
-            for block, doc, page, order, text in zip(*columns):
+            texts = [_unbroken(t) for t in columns[4]]
+            look(list({c for t in texts for c in t if c not in known}))
+            for block, doc, page, order, text, chunks in zip(*columns, texts):
                 where = (block, doc, page, order)
-                chunks = set(_unbroken(text))
-                for chunk in chunks - good:
-                    words = bad.get(chunk)
-                    if words is None:
-                        words = suspects(chunk)
-                        if words:
-                            bad[chunk] = words
-                        else:
-                            good.add(chunk)
-                    rows += [(*where, "word", None, w, None) for w in words]
-                lines = [s for s in map(str.strip, text.split("\n")) if s]
+                words: set[tuple[str, str | None]] = set()
+                for i, chunk in enumerate(chunks):
+                    if (entry := known[chunk]) is not None:
+                        words.update((w, None) for w in entry[0])
+                        if entry[1]:
+                            sides = "\x1f".join(chunks[k].strip(_EDGES).lower() if 0 <= k < len(chunks) else "" for k in (i - 1, i + 1))
+                            words.update((w, sides) for w in entry[1])
+                rows += [(*where, "word" if sides is None else "open", None, w, sides) for w, sides in words]
+                lines, edges = _content(text)
                 if not lines:
                     continue
                 for i in range(len(lines) - 1):
@@ -250,22 +301,17 @@ def _signs(bits: bytes):
                 tail = ends[:-1].lstrip(_EDGES).lower() if ends[-1] in HYPHENS else ""
                 if tail and tail[-1].isalpha():
                     rows.append((*where, "tail", None, tail, None))
-                edges = [s for s in lines if len(s) > 140 or page_number(s) is None]
                 for s in lines if len(edges) < len(lines) else ():
-                    if len(s) <= 40 and (number := page_number(s)) is not None:
+                    if (number := page_number(s)) is not None:
                         rows.append((*where, "number", number, s, None))
-                for s in {*edges[:2], *edges[-2:]}:
-                    if len(s) <= 140:
-                        rows += [(*where, "edge", h, None, None) for h in line_hashes(s, page)]
+                rows += _edge_rows(where, edges, 0, EDGE, page)
                 if edges and edges[0][0].islower():
                     rows.append((*where, "head", None, edges[0].split()[0].rstrip(_EDGES).lower(), None))
                 elif len(edges) > 1 and any(s[0].islower() for s in edges[1:3]):
                     first = next(s for s in edges[1:3] if s[0].islower())
                     rows.append((*where, "head", None, first.split()[0].rstrip(_EDGES).lower(), None))
-            if len(good) > 300_000:
-                good.clear()
-            if len(bad) > 300_000:
-                bad.clear()
+            if len(known) > 500_000:
+                known.clear()
             yield _batch(rows)
 
     return run
@@ -282,24 +328,82 @@ def scanned(blocks: DataFrame, parser: str = "qwen_vl") -> DataFrame:
     return blocks.where((F.col("parser_used") == parser) & (F.length("text") > 0))
 
 
-def noise_signs(blocks: DataFrame, misread: DataFrame) -> DataFrame:
-    """Rows of SIGN_SCHEMA for the scanned blocks; the misread words enter as a Bloom filter of fixed size."""
-    bits = bloom_filter(misread)
-    shared = blocks.sparkSession.sparkContext.broadcast(bits)
+def noise_signs(blocks: DataFrame, judged: DataFrame) -> DataFrame:
+    """Rows of SIGN_SCHEMA for the scanned blocks; the judged words enter as two Bloom filters."""
+    context = blocks.sparkSession.sparkContext
+    shared = [context.broadcast(bloom_filter(cut(judged.where(w).select("word").mapInArrow(_hashed("word"), "h bigint")))) for w in ("not open", "open")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _signs(shared.value)(batches)
+        yield from _signs(shared[0].value, shared[1].value)(batches)
 
     return scanned(blocks).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "text").mapInArrow(run, SIGN_SCHEMA)
 
 
-def misread_blocks(signs: DataFrame, misread: DataFrame) -> DataFrame:
-    """block_id, word, best: the exact join behind the Bloom filter."""
-    return signs.where("kind = 'word'").select("block_id", F.col("a").alias("word")).join(misread, "word").select("block_id", "word", "best")
+def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to rows ending in (word, sides, best) the pairs of the form and of its winner with both neighbours."""
+    for batch in batches:
+        word, sides, best = (batch.column(n).to_pylist() for n in ("word", "sides", "best"))
+        around = [s.split("\x1f") for s in sides]
+        left, right, own, other = (np.array([_hash(w) for w in column], np.int64) for column in ([a for a, _ in around], [b for _, b in around], word, best))
+        pairs = [_pair(left, own), _pair(own, right), _pair(left, other), _pair(other, right)]
+        columns = [*batch.columns, *map(pa.array, pairs), pa.array([bool(a) + bool(b) for a, b in around], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lw", "wr", "lb", "br", "sides_n"])
+
+
+def pair_counts(blocks: DataFrame, asked: DataFrame, text: str = "text") -> DataFrame:
+    """pair, n: how often two words with one of the asked hashes (column h) follow each other in the corpus."""
+    shared = blocks.sparkSession.sparkContext.broadcast(bloom_filter(asked))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = Bloom(np.frombuffer(shared.value, np.uint64))
+        hashes: dict[str, int] = {}
+        counts: Counter[int] = Counter()
+        edge = _hash("")
+        for batch in batches:
+            flat: list[str | None] = [None]
+            for body in batch.column(0).to_pylist():
+                flat += _unbroken(body)
+                flat.append(None)
+            for chunk in set(flat) - hashes.keys():
+                hashes[chunk] = edge if chunk is None else _hash(chunk.strip(_EDGES).lower())
+            line = np.fromiter(map(hashes.__getitem__, flat), np.int64, len(flat))
+            pairs = _pair(line[:-1], line[1:])
+            found, n = np.unique(pairs[bloom.has(pairs)], return_counts=True)
+            counts.update(dict(zip(found.tolist(), n.tolist())))
+            if len(hashes) > 500_000:
+                hashes.clear()
+            if len(counts) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], ["pair", "n"])
+                counts.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], ["pair", "n"])
+
+    return blocks.where(F.length(text) > 0).select(text).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def misread_blocks(signs: DataFrame, judged: DataFrame, blocks: DataFrame, support: int = 3, ratio: int = 10) -> DataFrame:
+    """block_id, doc_id, page_num, word, best: the misread words, by the exact join behind the filters.
+
+    An open form is judged where it stands: its support is how often the corpus has it after the same word or before the
+    same word, this place left out; that of its winner likewise. A form misread by its frequency stays if it has `support`
+    and its winner none; another is misread if its winner has `support` and `ratio` times that of the form.
+    """
+    where = ["block_id", "doc_id", "page_num"]
+    sure = signs.where("kind = 'word'").select(*where, F.col("a").alias("word")).join(judged.where("not open").select("word", "best"), "word").select(*where, "word", "best")
+    asked = signs.where("kind = 'open'").select(*where, F.col("a").alias("word"), F.col("b").alias("sides")).join(judged.where("open").select("word", "best", "misread"), "word")
+    schema = "block_id bigint, doc_id string, page_num int, word string, sides string, best string, misread boolean, lw bigint, wr bigint, lb bigint, br bigint, sides_n int"
+    contexts = cut(asked.select(*where, "word", "sides", "best", "misread").mapInArrow(_context, schema))
+    distinct = contexts.select("lw", "wr", "lb", "br", "sides_n").distinct()
+    each = distinct.select("lw", "wr", "lb", "br", F.posexplode(F.array("lw", "wr", "lb", "br")).alias("role", "pair"))
+    counts = pair_counts(blocks, cut(each.select(F.col("pair").alias("h")).distinct()))
+    has = each.join(counts, "pair").groupBy("lw", "wr", "lb", "br").agg(F.sum(F.when(F.col("role") < 2, F.col("n"))).alias("own"), F.sum(F.when(F.col("role") > 1, F.col("n"))).alias("other"))
+    joined = contexts.join(has, ["lw", "wr", "lb", "br"], "left")
+    own, other = F.coalesce("own", F.lit(0)) - F.col("sides_n"), F.coalesce("other", F.lit(0))
+    wrong = F.when(F.col("misread"), ~((own >= support) & (other == 0))).otherwise((other >= support) & (other >= own * ratio))
+    return sure.unionByName(joined.where(wrong).select(*where, "word", "best")).distinct()
 
 
 def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: int = 5) -> DataFrame:
-    """block_id, page_num, a, b, across, hyphen, misread: pairs of halves on two lines or, if across, on two pages.
+    """block_id, doc_id, page_num, a, b, across, hyphen, misread: pairs of halves on two lines or, if across, on two pages.
 
     hyphen is true for words written without one. misread is the frequent form the whole is a misreading of, else null.
     A break counts when the corpus has more unbroken occurrences of the joined word than of the compound, both taken by
@@ -311,9 +415,9 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
         signs.where("kind = 'tail'")
         .select("block_id", "doc_id", F.col("page_num").alias("page"), "a")
         .join(pages.select("doc_id", (F.col("page_num") - 1).alias("page"), F.col("head.a").alias("b")), ["doc_id", "page"])
-        .select("block_id", F.col("page").alias("page_num"), "a", "b", F.lit(True).alias("across"))
+        .select("block_id", "doc_id", F.col("page").alias("page_num"), "a", "b", F.lit(True).alias("across"))
     )
-    inside = signs.where("kind = 'break'").select("block_id", "page_num", "a", "b", F.lit(False).alias("across"))
+    inside = signs.where("kind = 'break'").select("block_id", "doc_id", "page_num", "a", "b", F.lit(False).alias("across"))
     pairs = inside.unionByName(tails).withColumns({"joined": skeleton_column(F.concat("a", "b")), "compound": skeleton_column(F.concat_ws("-", "a", "b"))})
     distinct = pairs.select("a", "b", "joined", "compound").distinct()
     sums = groups.select("skel", "total", "best", "best_n")
@@ -330,7 +434,7 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
     best, often = F.when(hyphen, F.col("best_one")).otherwise(F.col("best_two")), F.when(hyphen, F.col("n_one")).otherwise(F.col("n_two"))
     whole = F.when(hyphen, F.concat("a", "b")).otherwise(F.concat_ws("-", "a", "b"))
     misread = F.when((often >= least) & (best != whole), best)
-    return pairs.join(judged.select("a", "b", hyphen.alias("hyphen"), misread.alias("misread")), ["a", "b"]).select("block_id", "page_num", "a", "b", "across", "hyphen", "misread")
+    return pairs.join(judged.select("a", "b", hyphen.alias("hyphen"), misread.alias("misread")), ["a", "b"]).select("block_id", "doc_id", "page_num", "a", "b", "across", "hyphen", "misread")
 
 
 def document_pages(blocks: DataFrame, parser: str = "qwen_vl") -> DataFrame:
@@ -338,17 +442,43 @@ def document_pages(blocks: DataFrame, parser: str = "qwen_vl") -> DataFrame:
     return blocks.where(F.col("parser_used") == parser).groupBy("doc_id").agg(F.count_distinct("page_num").alias("pages"))
 
 
-def running_lines(signs: DataFrame, pages: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
-    """block_id, num: edge lines with a key that is on at least `least` pages and `share` of the document's pages."""
-    edges = signs.where("kind = 'edge'").select("block_id", "doc_id", "page_num", "num")
-    per_line = edges.groupBy("doc_id", "num", "page_num").agg(F.collect_set("block_id").alias("blocks"))
-    counted = per_line.groupBy("doc_id", "num").agg(F.count("*").alias("on")).where(F.col("on") >= least)
+def recurring_lines(edges: DataFrame, pages: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
+    """block_id, doc_id, page_num, num, a, b: edge lines with a key that is on at least `least` pages and `share` of the
+    document's pages."""
+    rows = edges.select("block_id", "doc_id", "page_num", "num", "a", "b")
+    counted = rows.groupBy("doc_id", "num", "page_num").agg(F.lit(1)).groupBy("doc_id", "num").agg(F.count("*").alias("on")).where(F.col("on") >= least)
     kept = counted.join(pages, "doc_id").where(F.col("on") >= F.col("pages") * share).select("doc_id", "num")
-    return per_line.join(kept, ["doc_id", "num"]).select(F.explode("blocks").alias("block_id"), "num")
+    return rows.join(kept, ["doc_id", "num"])
+
+
+def running_lines(signs: DataFrame, pages: DataFrame, blocks: DataFrame) -> DataFrame:
+    """block_id, doc_id, page_num, num: the recurring lines at the head or foot of their page.
+
+    Where all keyed lines at one edge of a block recur and more lines follow, the next EDGE lines of these blocks are
+    keyed too, and so on: furniture of any height is found, while a line inside a text is none.
+    """
+    found, depth = cut(recurring_lines(signs.where("kind = 'edge'"), pages)), EDGE
+    parts = [found]
+    while True:
+        places = found.where("b = 'more'").select("block_id", F.explode(F.split("a", " ")).alias("place")).distinct()
+        full = places.groupBy("block_id", F.substring("place", 1, 1).alias("side")).agg(F.count("*").alias("n")).where(F.col("n") == EDGE)
+        sides = cut(full.groupBy("block_id").agg(F.array_join(F.sort_array(F.collect_set("side")), "").alias("sides")))
+        if sides.isEmpty():
+            return reduce(DataFrame.unionByName, parts).select("block_id", "doc_id", "page_num", "num")
+
+        def run(batches: Iterator[pa.RecordBatch], low: int = depth) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = zip(*(c.to_pylist() for c in batch.columns))
+                yield _batch([r for block, doc, page, order, text, side in rows for r in _edge_rows((block, doc, page, order), _content(text)[1], low, low + EDGE, page, side)])
+
+        deeper = bounded(sides, scanned(blocks).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "text"), ["block_id"])
+        found = cut(recurring_lines(deeper.select("block_id", "doc_id", "page_num", "order_index", "text", "sides").mapInArrow(run, SIGN_SCHEMA), pages))
+        parts.append(found)
+        depth += EDGE
 
 
 def page_number_lines(signs: DataFrame) -> DataFrame:
-    """block_id, line: page-number lines at the offset (number less page) that most pages of their document have.
+    """block_id, doc_id, page_num, line: page-number lines at the offset (number less page) that most pages of their document have.
 
     A tie goes to the offset 1, then to the smaller one; the offset must be 1 or shared by two pages.
     """
@@ -356,31 +486,40 @@ def page_number_lines(signs: DataFrame) -> DataFrame:
     per = numbers.groupBy("doc_id", "offset").agg(F.count_distinct("page_num").alias("on"))
     best = per.groupBy("doc_id").agg(F.max(F.struct("on", (F.col("offset") == 1).alias("usual"), (-F.col("offset")).alias("low"))).alias("top"))
     chosen = best.where("top.on >= 2 or top.usual").select("doc_id", (-F.col("top.low")).alias("offset"))
-    return numbers.join(chosen, ["doc_id", "offset"]).select("block_id", "line")
+    return numbers.join(chosen, ["doc_id", "offset"]).select("block_id", "doc_id", "page_num", "line")
 
 
 class ScanNoise:
-    """The shared relations of one run over `blocks`; each is lazy, but for the Bloom filter of the misread words.
+    """The shared relations of one run over `blocks`.
 
-    The signs are written once to the checkpoint folder, as five relations read them. Null and empty texts give no
-    signs; a block that comes twice under two ids is judged twice; a null doc_id makes no document of its own.
+    Words, judged words and signs are written to the checkpoint folder, as several relations read them. Null and empty
+    texts give no signs; a block that comes twice under two ids is judged twice; a null doc_id makes no document of its own.
     """
 
     def __init__(self, blocks: DataFrame) -> None:
         self.blocks = blocks
         self.words = cut(word_table(blocks))
         self.groups = word_groups(self.words)
-        self.misread = cut(misread_words(self.words, self.groups))
-        self.signs = cut(noise_signs(blocks, self.misread))
+        self.judged = cut(judged_words(self.words))
+        self.signs = cut(noise_signs(blocks, self.judged))
+
+    def misread(self) -> DataFrame:
+        return misread_blocks(self.signs, self.judged, self.blocks)
+
+    def broken(self) -> DataFrame:
+        return broken_words(self.signs, self.groups, self.words)
+
+    def running(self) -> DataFrame:
+        return running_lines(self.signs, document_pages(self.blocks), self.blocks)
 
     def found(self) -> DataFrame:
         """block_id, noise: one row per scanned block and kind of noise."""
-        broken = broken_words(self.signs, self.groups, self.words)
+        broken = self.broken()
         in_halves = broken.where(F.col("misread").isNotNull() & (~F.col("across") | ~F.col("misread").startswith(F.col("a"))))
         kinds = {
-            "char": misread_blocks(self.signs, self.misread).select("block_id").unionByName(in_halves.select("block_id")),
+            "char": self.misread().select("block_id").unionByName(in_halves.select("block_id")),
             "hyphen": broken.where("hyphen"),
-            "running": running_lines(self.signs, document_pages(self.blocks)),
+            "running": self.running(),
             "page_no": page_number_lines(self.signs),
         }
         parts = [frame.select("block_id", F.lit(kind).alias("noise")) for kind, frame in kinds.items()]
@@ -443,56 +582,126 @@ def repair_block(text: str, kind: str, best: dict[str, str], breaks: dict[tuple[
     return correct_words("\n".join(lines), best)
 
 
-REPAIRED_SCHEMA = "block_id bigint, doc_id string, page_num int, order_index int, block_type string, text string, joins string"
+REPAIRED_SCHEMA = "block_id bigint, doc_id string, seg int, page_num int, order_index int, block_type string, text string, joins string"
+
+
+def _repairs(noise: ScanNoise) -> DataFrame:
+    """block_id, doc_id, seg, kind, a, b, num, across, hyphen: all that is to be mended, in one relation."""
+    parts = {
+        "word": noise.misread().select("block_id", "doc_id", "page_num", F.col("word").alias("a"), F.col("best").alias("b")),
+        "break": noise.broken().select("block_id", "doc_id", "page_num", "a", F.concat_ws("\x1f", "b", F.coalesce("misread", F.lit(""))).alias("b"), "across", "hyphen"),
+        "running": noise.running().select("block_id", "doc_id", "page_num", "num"),
+        "number": page_number_lines(noise.signs).select("block_id", "doc_id", "page_num", F.col("line").alias("a")),
+    }
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [frame.withColumn("kind", F.lit(kind)) for kind, frame in parts.items()])
+    return _segment(rows).select("block_id", "doc_id", "seg", "kind", "a", "b", "num", "across", "hyphen")
+
+
+def _segment(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("seg", F.floor(F.coalesce("page_num", F.lit(0)) / SEGMENT_PAGES).cast("int"))
+
+
+def _repair_segment(blocks: pa.Table, repairs: pa.Table) -> pa.Table:
+    """The blocks of one segment of pages, one per place, mended; those of nothing but furniture are gone."""
+    mend: dict[int, list[dict]] = {}
+    for r in repairs.to_pylist():
+        mend.setdefault(r["block_id"], []).append(r)
+    first: dict[tuple, dict] = {}
+    for r in blocks.to_pylist():
+        place = (r["page_num"], r["order_index"])
+        if place not in first or r["block_id"] < first[place]["block_id"]:
+            first[place] = r
+    out = []
+    for r in first.values():
+        if not r["text"]:
+            continue
+        found = mend.get(r["block_id"], ())
+        best = {f["a"]: f["b"] for f in found if f["kind"] == "word"}
+        halves = [(f["a"], *f["b"].split("\x1f"), f["across"], f["hyphen"]) for f in found if f["kind"] == "break"]
+        inside = {(a, b): (hyphen, word or None) for a, b, word, across, hyphen in halves if not across}
+        running, numbers = {f["num"] for f in found if f["kind"] == "running"}, {f["a"] for f in found if f["kind"] == "number"}
+        text = repair_block(r["text"], r["block_type"], best, inside, running, numbers, r["page_num"] or 0)
+        joins = next(("word" if hyphen else "compound" for *_, across, hyphen in halves if across), None)
+        if text:
+            out.append({**r, "text": text, "joins": joins})
+    return pa.Table.from_pylist(out, schema=_REPAIRED)
+
+
+_REPAIRED = pa.schema([("block_id", pa.int64()), ("doc_id", pa.string()), ("seg", pa.int32()), ("page_num", pa.int32()), ("order_index", pa.int32()), ("block_type", pa.string()), ("text", pa.string()), ("joins", pa.string())])
+#: Pages of a document that are mended and laid out in one task.
+SEGMENT_PAGES = 64
 
 
 def repaired_blocks(noise: ScanNoise) -> DataFrame:
     """REPAIRED_SCHEMA: the scanned blocks, one per place, with their repairs applied; blocks of nothing but furniture
-    have no row. joins tells how a word broken at the end goes on: 'word', 'compound' or null."""
-    words = misread_blocks(noise.signs, noise.misread).groupBy("block_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "best"))).alias("best"))
-    broken = broken_words(noise.signs, noise.groups, noise.words)
-    halves = broken.groupBy("block_id").agg(F.collect_set(F.struct("a", "b", "across", "hyphen", "misread")).alias("breaks"))
-    lines = running_lines(noise.signs, document_pages(noise.blocks)).groupBy("block_id").agg(F.collect_set("num").alias("running"))
-    numbers = page_number_lines(noise.signs).groupBy("block_id").agg(F.collect_set("line").alias("numbers"))
-    rows = scanned(distinct_blocks(noise.blocks)).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "block_type", "text")
-    for part in (words, halves, lines, numbers):
-        rows = rows.join(part, "block_id", "left")
+    have no row. joins tells how a word broken at the end goes on: 'word', 'compound' or null. Texts and repairs meet once,
+    by segments of pages."""
+    rows = noise.blocks.where((F.col("parser_used") == "qwen_vl") & F.col("doc_id").isNotNull())
+    slim = _segment(rows.select(F.col("block_id").cast("bigint"), "doc_id", F.col("page_num").cast("int"), F.col("order_index").cast("int"), "block_type", "text"))
+    slim = slim.select("block_id", "doc_id", "seg", "page_num", "order_index", "block_type", "text")
+    return slim.groupBy("doc_id", "seg").cogroup(_repairs(noise).groupBy("doc_id", "seg")).applyInArrow(_repair_segment, REPAIRED_SCHEMA)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [n.split()[0] for n in REPAIRED_SCHEMA.split(", ")]
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                halves = r["breaks"] or []
-                inside = {(h["a"], h["b"]): (h["hyphen"], h["misread"]) for h in halves if not h["across"]}
-                text = repair_block(r["text"], r["block_type"], dict(r["best"] or ()), inside, set(r["running"] or ()), set(r["numbers"] or ()), r["page_num"] or 0)
-                across = next((h for h in halves if h["across"]), None)
-                if text:
-                    out.append((*(r[n] for n in names[:5]), text, None if across is None else "word" if across["hyphen"] else "compound"))
-            columns = list(zip(*out)) or [()] * 7
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return rows.mapInArrow(run, REPAIRED_SCHEMA)
+def _numbered(repaired: DataFrame) -> DataFrame:
+    """doc_id, seg, block_id, joint, paragraph, spread: the paragraph of each block, how it goes on from the block before
+    (null: it begins the paragraph), and whether the paragraph lies in several segments. SQL windows, without the texts."""
+    unfinished = ~F.col("text").rlike(r"[.!?:;。！？][\"'”’)\]]*$")
+    slim = segmented(repaired.select("doc_id", "page_num", "order_index", "block_id", "block_type", "joins", unfinished.alias("unfinished"), F.col("text").rlike(r"^\p{Ll}").alias("low")), pages=SEGMENT_PAGES)
+    prose = F.coalesce(F.col("block_type").isin("paragraph", "other", "footnote"), F.lit(False))
+    before = neighbour(slim, {"__open": prose & (F.col("unfinished") | F.col("joins").isNotNull()), "__joins": F.col("joins"), "__seg": F.col("seg")}, -1)
+    goes_on = F.coalesce(prose & F.col("__open") & (F.col("low") | F.col("__joins").isNotNull()), F.lit(False))
+    numbered = running_sum(before.withColumn("__on", goes_on), "paragraph", F.when(F.col("__on"), 0).otherwise(1).cast("bigint"))
+    crossing = numbered.where(F.col("__on") & (F.col("__seg") != F.col("seg"))).select("doc_id", "paragraph").distinct().withColumn("spread", F.lit(True))
+    marked = numbered.join(crossing, ["doc_id", "paragraph"], "left")
+    joint = F.when(F.col("__on"), F.coalesce("__joins", F.lit("space")))
+    return marked.select("doc_id", "seg", "block_id", joint.alias("joint"), "paragraph", F.coalesce("spread", F.lit(False)).alias("spread"))
+
+
+def _joined(text: str, joint: str | None, more: str) -> str:
+    if joint in ("word", "compound"):
+        return (text[:-1] if text[-1:] and text[-1] in HYPHENS else text) + ("-" if joint == "compound" else "") + more
+    return f"{text} {more}"
+
+
+_PARAGRAPH = "doc_id string, paragraph bigint, block_type string, first_page int, last_page int, n_blocks int, text string"
+_PIECE = f"{_PARAGRAPH}, seg int, joint string, spread boolean"
+
+
+def _flow(blocks: pa.Table, numbers: pa.Table) -> pa.Table:
+    """The pieces of paragraphs in one segment, each with the joint before it."""
+    of = {r["block_id"]: r for r in numbers.to_pylist()}
+    pieces: dict[int, dict] = {}
+    order = lambda r: tuple((v is not None, v or 0) for v in (r["page_num"], r["order_index"]))
+    for r in sorted(blocks.to_pylist(), key=order):
+        n = of[r["block_id"]]
+        piece = pieces.get(n["paragraph"])
+        if piece is None:
+            pieces[n["paragraph"]] = {
+                "doc_id": r["doc_id"], "paragraph": n["paragraph"], "block_type": r["block_type"], "first_page": r["page_num"], "last_page": r["page_num"],
+                "n_blocks": 1, "text": r["text"], "seg": r["seg"], "joint": n["joint"], "spread": n["spread"],
+            }
+        else:
+            piece |= {"text": _joined(piece["text"], n["joint"], r["text"]), "last_page": r["page_num"], "n_blocks": piece["n_blocks"] + 1}
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    return pa.Table.from_pylist([*pieces.values()], schema=pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in _PIECE.split(", ")]))
 
 
 def paragraphs(repaired: DataFrame) -> DataFrame:
     """doc_id, paragraph, block_type, first_page, last_page, n_blocks, text: readable paragraphs in reading order.
 
     A block goes on with the next one of its kind when a word is broken between them, or when it does not end a sentence
-    and the next starts in lower case. Windows run in segments of pages, so that no document is gathered in one task.
+    and the next starts in lower case. Windows run in segments of pages, so that no document is gathered in one task; the
+    texts of a segment meet their paragraph numbers once, and only paragraphs over several segments are gathered again.
     """
-    rows = segmented(repaired)
-    prose = F.col("block_type").isin("paragraph", "other", "footnote")
-    unfinished = ~F.col("text").rlike(r"[.!?:;。！？][\"'”’)\]]*$")
-    before = neighbour(rows, {"__open": prose & (unfinished | F.col("joins").isNotNull()), "__joins": F.col("joins")}, -1)
-    goes_on = F.coalesce(prose & F.col("__open") & (F.col("text").rlike(r"^\p{Ll}") | F.col("__joins").isNotNull()), F.lit(False))
-    numbered = running_sum(before.withColumn("__on", goes_on), "paragraph", F.when(F.col("__on"), 0).otherwise(1).cast("bigint"))
-    piece = F.struct("page_num", "order_index", F.when(F.col("__on"), F.coalesce("__joins", F.lit("space"))).alias("joint"), "text", "block_type")
-    grouped = numbered.groupBy("doc_id", "paragraph").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    rows = cut(repaired)
+    texts = rows.select(*(F.col(c).alias(c) for c in rows.columns))
+    pieces = cut(texts.groupBy("doc_id", "seg").cogroup(_numbered(rows).groupBy("doc_id", "seg")).applyInArrow(_flow, _PIECE))
+    columns = [f.split()[0] for f in _PARAGRAPH.split(", ")]
+    parts = F.array_sort(F.collect_list(F.struct("seg", "joint", "text", "block_type", "first_page", "last_page", "n_blocks"))).alias("p")
     bare = lambda t: F.regexp_replace(t, rf"[{HYPHENS}]$", "")
-    step = lambda text, p: F.when(p["joint"].isNull(), p["text"]).when(p["joint"] == "word", F.concat(bare(text), p["text"])).when(p["joint"] == "compound", F.concat(bare(text), F.lit("-"), p["text"])).otherwise(F.concat_ws(" ", text, p["text"]))
-    return grouped.select(
-        "doc_id", "paragraph", F.element_at("p", 1)["block_type"].alias("block_type"), F.element_at("p", 1)["page_num"].alias("first_page"), F.element_at("p", -1)["page_num"].alias("last_page"),
-        F.size("p").alias("n_blocks"), F.aggregate("p", F.lit(""), step).alias("text"),
+    step = lambda text, p: F.when(text == "", p["text"]).when(p["joint"] == "word", F.concat(bare(text), p["text"])).when(p["joint"] == "compound", F.concat(bare(text), F.lit("-"), p["text"])).otherwise(F.concat_ws(" ", text, p["text"]))
+    wide = pieces.where("spread").groupBy("doc_id", "paragraph").agg(parts).select(
+        "doc_id", "paragraph", F.element_at("p", 1)["block_type"].alias("block_type"), F.element_at("p", 1)["first_page"].alias("first_page"), F.element_at("p", -1)["last_page"].alias("last_page"),
+        F.aggregate("p", F.lit(0), lambda n, p: n + p["n_blocks"]).alias("n_blocks"), F.aggregate("p", F.lit(""), step).alias("text"),
     )
+    return pieces.where("not spread").select(*columns).unionByName(wide)

@@ -87,3 +87,71 @@ def test_clashing_columns(spark):
     blocks = _blocks(spark)
     extra = {n: scans.F.lit("x") for n in ("word", "n", "kind", "num", "a", "b", "skel", "noise", "paragraph")}
     assert scans.ScanNoise(blocks.withColumns(extra)).found().count() == scans.ScanNoise(blocks).found().count()
+
+
+def _small(spark, texts, kind="paragraph", doc="d"):
+    rows = [(i, f"{doc}{i % 2}", i // 2, 0, kind, t, "qwen_vl") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "block_id long, doc_id string, page_num int, order_index int, block_type string, text string, parser_used string")
+
+
+def test_context_decides(spark):
+    # "clay" is written like "day"; only where the corpus has "day" is it a misreading. "modem" is too frequent for the ratio.
+    texts = ["on the last day of treatment"] * 120 + ["the clay minerals were weighed"] * 4 + ["on the last clay of treatment"] + ["seen in modern practice today"] * 24 + ["seen in modem practice today"] + ["plug the modem cable here"] * 4
+    noise = scans.ScanNoise(_small(spark, texts))
+    got = {(r.block_id, r.word, r.best) for r in noise.misread().collect()}
+    assert got == {(124, "clay", "day"), (149, "modem", "modern")}
+
+
+def test_numbers_read_with_a_letter(spark):
+    texts = [f"a dose of 150 mg was given on visit {w}" for w in ("one", "two", "three") * 40] + ["a dose of l5O mg was given", "kit l5O was lost", "vitamin B12 was given"]
+    got = {(r.block_id, r.word, r.best) for r in scans.ScanNoise(_small(spark, texts)).misread().collect()}
+    assert got == {(120, "l5o", "150")}
+
+
+def test_pairs_equal_brute_force(spark):
+    from collections import Counter
+
+    import numpy as np
+
+    texts = ["a b a b c", "c a b", "b", "", "a-b (a) b."]
+    frame = _small(spark, texts)
+    wanted = Counter()
+    for t in texts:
+        words = ["", *(c.strip(scans._EDGES).lower() for c in t.split()), ""]
+        wanted.update(zip(words, words[1:]))
+    h = lambda w: np.array([scans._hash(w)])
+    asked = {p: int(scans._pair(h(p[0]), h(p[1]))[0]) for p in wanted}
+    counts = {r.pair: r.n for r in scans.pair_counts(frame, spark.createDataFrame([(v,) for v in asked.values()], "h long")).collect()}
+    assert all(counts[v] == wanted[p] for p, v in asked.items() if p != ("", ""))
+
+
+def test_long_words_and_lines(spark):
+    word = "x" * 30 + "monitor" + "y" * 60
+    line = "Confidential " + "protocol of the long study with a very long running line that has far more than one hundred and forty letters in it " * 2
+    texts = [f"{line}\n{word} of page {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}" for i in range(60)] + [word.replace("m", "rn")]
+    found = {(r.block_id, r.noise) for r in scans.ScanNoise(_small(spark, texts)).found().collect()}
+    assert (60, "char") in found and {b for b, n in found if n == "running"} == set(range(60))
+
+
+def test_furniture_of_any_height(spark):
+    head = ["Header alpha of the trial", "Header beta of the trial", "Header gamma of the trial", "Header delta of the trial", "Header epsilon of the trial"]
+    texts = ["\n".join([*head, f"text {'abcdefgh'[i]} one", f"text {'abcdefgh'[i]} two", "common middle line", f"text {'abcdefgh'[i]} three", f"more {'abcdefgh'[i]} text", f"end {'abcdefgh'[i]} of it"]) for i in range(8)]
+    noise = scans.ScanNoise(_small(spark, texts))
+    keys = {(r.block_id, r.num) for r in noise.running().collect()}
+    own = {h for line in head for h in scans.line_hashes(line, 0)}
+    assert {b for b, _ in keys} == set(range(8)) and {n for _, n in keys} == own
+    repaired = {r.block_id: r.text for r in scans.repaired_blocks(noise).collect()}
+    assert all("Header" not in t and "common middle line" in t for t in repaired.values())
+
+
+def test_page_numbers_of_any_length():
+    assert scans.page_number("- - - Page - - - 12 - - - of - - - 340 - - - - - - - - - - - - - -") == 12
+    assert scans.page_number("page " * 30) is None and scans.page_number("1 2 3 4 5 6 7") is None
+
+
+def test_paragraphs_over_segments(spark, monkeypatch):
+    texts = ["The sentence begins here and", "goes on there and", "ends here.", "Another one."]
+    rows = [(i, "d", 63 + i, 0, "paragraph", t, "qwen_vl") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "block_id long, doc_id string, page_num int, order_index int, block_type string, text string, parser_used string")
+    got = {(r.first_page, r.last_page, r.n_blocks, r.text) for r in scans.paragraphs(scans.repaired_blocks(scans.ScanNoise(frame))).collect()}
+    assert got == {(63, 65, 3, "The sentence begins here and goes on there and ends here."), (66, 66, 1, "Another one.")}
