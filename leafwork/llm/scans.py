@@ -124,7 +124,7 @@ def judged_words(words: DataFrame, ratio: int = 10, least: int = 5, seen: int =
     as much for words under four letters and for tokens with digits, among which true neighbours abound. A form with a
     sign or digit between letters that its winner lacks needs only a third of the ratio. open: the context decides, for
     forms with `seen` occurrences or more, as these may be words of their own, for forms outweighed by a third of what is
-    needed, and for numbers read with a letter.
+    needed (none of under four letters or with digits), and for numbers read with a letter.
     """
     short = (F.length("best") < 4) | F.col("best").rlike(r"\d")
     odd = F.col("word").rlike(r"[!@$|0-9]") & ~F.col("best").rlike(r"[!@$|0-9]")
@@ -133,7 +133,7 @@ def judged_words(words: DataFrame, ratio: int = 10, least: int = 5, seen: int =
     number = F.col("best").rlike(r"^[0-9][0-9.,]*$") & F.col("word").rlike("[0-9]") & F.col("word").rlike(r"\p{L}")
     common = F.col("best_n") >= F.when(short, least * 20).otherwise(least)
     outweighed = lettered & common & (F.col("best_n") >= F.col("n") * need)
-    near = (lettered | number) & common & (F.col("best_n") >= F.col("n") * need / 3)
+    near = ((lettered & ~short) | number) & common & (F.col("best_n") >= F.col("n") * need / 3)
     kept = words.where((F.col("word") != F.col("best")) & (F.length("best") > 1) & (outweighed | near))
     return kept.select("word", "best", outweighed.alias("misread"), (~outweighed | (F.col("n") >= seen)).alias("open"))
 

@@ -95,11 +95,11 @@ def _small(spark, texts, kind="paragraph", doc="d"):
 
 
 def test_context_decides(spark):
-    # "clay" is written like "day"; only where the corpus has "day" is it a misreading. "modem" is too frequent for the ratio.
-    texts = ["on the last day of treatment"] * 120 + ["the clay minerals were weighed"] * 4 + ["on the last clay of treatment"] + ["seen in modern practice today"] * 24 + ["seen in modem practice today"] + ["plug the modem cable here"] * 4
+    # "clays" is written like "days"; only where the corpus has "days" is it a misreading. "modem" is too frequent for the ratio.
+    texts = ["on the last days of treatment"] * 120 + ["the clays minerals were weighed"] * 4 + ["on the last clays of treatment"] + ["seen in modern practice today"] * 24 + ["seen in modem practice today"] + ["plug the modem cable here"] * 4
     noise = scans.ScanNoise(_small(spark, texts))
     got = {(r.block_id, r.word, r.best) for r in noise.misread().collect()}
-    assert got == {(124, "clay", "day"), (149, "modem", "modern")}
+    assert got == {(124, "clays", "days"), (149, "modem", "modern")}
 
 
 def test_numbers_read_with_a_letter(spark):
