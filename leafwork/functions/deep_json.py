@@ -1,4 +1,4 @@
-"""JSON of any nesting depth: the parser of the standard library, and a stack machine where that one is too deep."""
+"""JSON of any nesting depth: the parser and writer of the standard library, and stack machines where these give up."""
 
 from __future__ import annotations
 
@@ -65,3 +65,29 @@ def _machine(text: str) -> Any:
     if want != "end":
         raise ValueError("JSON ends early")
     return root[0]
+
+
+def dumps(value: Any) -> str:
+    """JSON text of a value, letters as they are."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        out: list[str] = []
+        todo: list[tuple[bool, Any]] = [(False, value)]
+        while todo:
+            done, item = todo.pop()
+            if done:
+                out.append(item)
+            elif isinstance(item, dict):
+                parts = [(True, "}")]
+                for i, (k, v) in enumerate(reversed(item.items())):
+                    parts += [(False, v), (True, ("" if i == len(item) - 1 else ", ") + json.dumps(k, ensure_ascii=False) + ": ")]
+                todo += [*parts, (True, "{")]
+            elif isinstance(item, list):
+                parts = [(True, "]")]
+                for i, v in enumerate(reversed(item)):
+                    parts += [(False, v)] if i == len(item) - 1 else [(False, v), (True, ", ")]
+                todo += [*parts, (True, "[")]
+            else:
+                out.append(json.dumps(item, ensure_ascii=False))
+        return "".join(out)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafwork.operators import annotate, indexes, matching, nested
 from leafwork.plans import chunks as chunk_plans
+from leafwork.plans.nested import payload_nodes
 from leafwork.plans.registry import Registry
 from leafwork.plans.texts import decorated
 from leafwork.sources.tables import table
@@ -52,7 +53,7 @@ def language_purity(spark: SparkSession, root: str) -> DataFrame:
 
 @registry.add("table_structure")
 def table_structure(spark: SparkSession, root: str) -> DataFrame:
-    cells = nested.cell_table(nested.flatten_payloads(table(spark, root, "mineru_responses")))
+    cells = nested.subtype(payload_nodes(spark, root), "cell")
     return annotate.table_structure(cells, "response_id", "page_num", "parent_index")
 
 

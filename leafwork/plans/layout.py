@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafwork.functions import text as T
 from leafwork.operators import layout, nested
+from leafwork.plans.nested import payload_nodes
 from leafwork.plans.registry import Registry
 from leafwork.plans.sections import BLOCKS_SQL, blocks
 from leafwork.sources import adapters
@@ -155,7 +156,7 @@ def layout_labels(spark: SparkSession, root: str) -> DataFrame:
 
 @registry.add("html_tables")
 def html_tables(spark: SparkSession, root: str) -> DataFrame:
-    cells = nested.cell_table(nested.flatten_payloads(table(spark, root, "mineru_responses")))
+    cells = nested.subtype(payload_nodes(spark, root), "cell")
     return adapters.html_tables(cells, "response_id", "page_num", "parent_index")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +75,18 @@ def bounded(small: DataFrame, large: DataFrame, on: list[str], spread: str | Non
         return large.join(small, on, how)
     salted = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return large.withColumn("__salt", F.pmod(F.hash(spread), F.lit(SALTS))).join(salted, [*on, "__salt"], how).drop("__salt")
+
+
+_HELD: dict[str, tuple[tuple, DataFrame]] = {}
+
+
+def once(spark: SparkSession, name: str, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """build() written to the checkpoint folder, and read from there again while the session lasts and the files at
+    `path` are the same. Of each name the last is kept; the one before is released for cleaning."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    key = (spark.sparkContext.applicationId, path, status.getModificationTime(), status.getLen())
+    held = _HELD.get(name)
+    if held is None or held[0] != key:
+        held = _HELD[name] = (key, cut(build()))
+    return held[1]

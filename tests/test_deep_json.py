@@ -29,3 +29,9 @@ def test_any_depth():
     while value:
         value, depth = value[0], depth + 1
     assert depth == 50_000
+
+
+def test_writes_any_depth():
+    deep = "[" * 30_000 + '{"a": [1, "é", null], "b": {}}' + "]" * 30_000
+    assert deep_json.dumps(deep_json.loads(deep)) == deep
+    assert deep_json.dumps({"a": [1, 2, {"b": []}], "c": "x"}) == json.dumps({"a": [1, 2, {"b": []}], "c": "x"})

@@ -61,6 +61,47 @@ def test_over_spark(spark):
     frame = spark.createDataFrame(data, "response_id bigint, doc_id string, payload string, kind string")
     nodes = nested.flatten_payloads(frame)
     assert nested.found_nodes(nodes).count() == 4
-    assert nested.cell_table(nodes).select("row", "col", "text").distinct().collect() == [(1, 2, "a")]
+    assert nested.subtype(nodes, "cell").select("row", "col", "text").distinct().collect() == [(1, 2, "a")]
     assert nested.block_table(nodes.limit(0)).count() == 0
     assert nested.flatten_payloads(frame.where("false")).count() == 0
+
+
+def test_any_depth():
+    for depth in (400, 5_000):
+        payload = '{"block_type": "a", "order_index": 1, "blocks": [' * depth + "]}" * depth
+        assert rows('{"pages": {"0": [' + payload + "]}}") == [(0, "block", -1, 1)] + [(0, "block", 1, 1)] * (depth - 1)
+    wrapped = '{"result": ' * 2_000 + '{"pages": {"3": [{"block_type": "a", "order_index": 7}]}}' + "}" * 2_000
+    assert rows(wrapped) == [(3, "block", -1, 7)]
+    deep = {"block_type": "a", "order_index": 1}
+    assert rows('{"pages": {"0": [{"block_type": "a", "order_index": 1, "text": ' + "[" * 3_000 + "]" * 3_000 + "}]}}") == [(0, "block", -1, 1)] and deep
+
+
+def test_variants_are_routed_to_their_tables(spark):
+    page = [
+        block(0), block(1, cells=[{"row": 0, "col": 0, "text": "a"}, "b"], table_caption=["c", "d"], has_merges=True), block(2, html="<table>"), block(3, image_caption="f"),
+        block(4, blocks=[block(5)]), {**block(6), "metadata": json.dumps({"html": "<i>"})}, block(7, table_footnote=["n"]),
+    ]
+    frame = spark.createDataFrame([(1, "d", json.dumps({"pages": {"0": page}}))], "response_id bigint, doc_id string, payload string")
+    nodes = nested.flatten_payloads(frame).cache()
+    got = {name: sorted(r.item_no for r in nested.subtype(nodes, name).collect()) for name in nested.SUBTYPES}
+    assert got == {"plain_block": [0, 5], "table_block": [1, 2, 6, 7], "figure_block": [3], "container_block": [4], "cell": [0, 1], "caption": [0, 0, 1], "footnote": [0]}
+    assert sum(map(len, got.values())) == nodes.count() and nested.block_table(nodes).count() == 8
+    one = nested.subtype(nodes, "table_block").where("item_no = 1").first()
+    assert (one.n_cells, one.n_captions, one.has_merges, one.html) == (2, 2, True, None)
+    assert nested.subtype(nodes, "container_block").first().n_inside == 1
+    nodes.unpersist()
+
+
+def test_payloads_are_parsed_once_a_session(spark, tmp_path):
+    from leafwork.plans.nested import registry
+
+    def land(texts):
+        data = [(i, "d", t, None) for i, t in enumerate(texts)]
+        spark.createDataFrame(data, "response_id bigint, doc_id string, payload string, kind string").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "mineru_responses.parquet"))
+
+    text = json.dumps({"pages": {"0": [block(0)]}})
+    land([text])
+    first = registry.queries["p5_blocks"](spark, str(tmp_path))
+    assert first.count() == registry.queries["p5_found"](spark, str(tmp_path)).count() == 1
+    land([text, text])
+    assert registry.queries["p5_plain_blocks"](spark, str(tmp_path)).count() == 2
