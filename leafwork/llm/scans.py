@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -186,18 +186,23 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
 
+@lru_cache(1 << 17)
+def _line_part(token: str) -> tuple[str, int | None]:
+    """A token of a line as it enters the keys, and its number, if it is a short one."""
+    bare = token.strip(_EDGES)
+    if bare and any(c.isdigit() for c in bare) and _NUMBER.fullmatch(digits := bare.translate(_DIGITS)):
+        return token.replace(bare, digits), int(digits) if digits.isdigit() and len(digits) < 7 else None
+    return token.translate(_SKELETON), None
+
+
 def line_keys(line: str, page: int) -> list[str]:
     """Keys of a line that stay equal from page to page: its skeleton with all numbers as they are, and for each number
     once more with that number masked by its distance from the page. Digits read as letters are digits again."""
     parts, numbers = [], []
-    for token in line.lower().split():
-        bare = token.strip(_EDGES)
-        if bare and any(c.isdigit() for c in bare) and _NUMBER.fullmatch(digits := bare.translate(_DIGITS)):
-            parts.append(token.replace(bare, digits))
-            if digits.isdigit() and len(digits) < 7:
-                numbers.append((len(parts) - 1, int(digits)))
-        else:
-            parts.append(token.translate(_SKELETON))
+    for part, number in map(_line_part, line.lower().split()):
+        if number is not None:
+            numbers.append((len(parts), number))
+        parts.append(part)
     keys = [" ".join(parts)]
     for at, number in numbers:
         keys.append(" ".join([*parts[:at], f"#{number - page}", *parts[at + 1 :]]))
@@ -208,24 +213,30 @@ def line_hashes(line: str, page: int | None) -> list[int]:
     return [_hash(k) for k in line_keys(line, page or 0)]
 
 
+@lru_cache(1 << 17)
+def _page_token(token: str) -> tuple[str, int]:
+    """What a token is on a page-number line, and its number: 'number', 'page', 'of', 'roman', 'glyph' (read as a digit) or 'other'."""
+    digits, skel = token.translate(_DIGITS), token.translate(_SKELETON)
+    if any(c.isdigit() for c in token) and digits.isdigit() and len(digits) < 7:
+        return "number", int(digits)
+    if skel in _PAGE_SKELETONS:
+        return "page", 0
+    if skel in _OF_SKELETONS:
+        return "of", 0
+    if _ROMAN.fullmatch(token):
+        values = [_ROMAN_VALUES[c] for c in token]
+        return "roman", sum(-v if v < max(values[i:]) else v for i, v in enumerate(values))
+    return ("glyph", int(digits)) if token in ("l", "i", "|", "o", "s") else ("other", 0)
+
+
 def page_number(line: str) -> int | None:
     """The number of a line that holds nothing but a page number in some notation, else None."""
     numbers: list[int] = []
     for match in _LINE_TOKEN.finditer(line.lower()):
-        token = match[0]
-        digits = token.translate(_DIGITS)
-        if any(c.isdigit() for c in token) and digits.isdigit() and len(digits) < 7:
-            numbers.append(int(digits))
-        elif token.translate(_SKELETON) in _PAGE_SKELETONS:
-            continue
-        elif numbers and token.translate(_SKELETON) in _OF_SKELETONS:
-            continue
-        elif not numbers and _ROMAN.fullmatch(token):
-            values = [_ROMAN_VALUES[c] for c in token]
-            numbers.append(sum(-v if v < max(values[i:]) else v for i, v in enumerate(values)))
-        elif token in ("l", "i", "|", "o", "s") and not numbers:
-            numbers.append(int(token.translate(_DIGITS)))
-        else:
+        kind, number = _page_token(match[0])
+        if kind == "number" or (kind in ("roman", "glyph") and not numbers):
+            numbers.append(number)
+        elif kind != "page" and not (kind == "of" and numbers):
             return None
     if not numbers or len(numbers) > 2 or re.search(r"\d[.,:]\d|%", line):
         return None
@@ -399,7 +410,7 @@ def misread_blocks(signs: DataFrame, judged: DataFrame, blocks: DataFrame, suppo
     joined = contexts.join(has, ["lw", "wr", "lb", "br"], "left")
     own, other = F.coalesce("own", F.lit(0)) - F.col("sides_n"), F.coalesce("other", F.lit(0))
     wrong = F.when(F.col("misread"), ~((own >= support) & (other == 0))).otherwise((other >= support) & (other >= own * ratio))
-    return sure.unionByName(joined.where(wrong).select(*where, "word", "best")).distinct()
+    return sure.unionByName(joined.where(wrong).select(*where, "word", "best"))
 
 
 def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: int = 5) -> DataFrame:
@@ -419,9 +430,11 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
     )
     inside = signs.where("kind = 'break'").select("block_id", "doc_id", "page_num", "a", "b", F.lit(False).alias("across"))
     pairs = inside.unionByName(tails).withColumns({"joined": skeleton_column(F.concat("a", "b")), "compound": skeleton_column(F.concat_ws("-", "a", "b"))})
-    distinct = pairs.select("a", "b", "joined", "compound").distinct()
-    sums = groups.select("skel", "total", "best", "best_n")
-    known = words.where("n >= 3")
+    distinct = cut(pairs.select("a", "b", "joined", "compound").distinct())
+    # Only the forms that are asked for leave the word table.
+    asked = lambda one, two, name: distinct.select(F.explode(F.array(one, two)).alias(name)).distinct()
+    sums = cut(bounded(asked("joined", "compound", "skel"), groups.select("skel", "total", "best", "best_n"), ["skel"]))
+    known = cut(bounded(asked("a", "b", "word"), words.where("n >= 3").select("word"), ["word"]))
     judged = (
         distinct.join(sums.toDF("joined", "as_one", "best_one", "n_one"), "joined", "left")
         .join(sums.toDF("compound", "as_two", "best_two", "n_two"), "compound", "left")
@@ -445,19 +458,20 @@ def document_pages(blocks: DataFrame, parser: str = "qwen_vl") -> DataFrame:
 def recurring_lines(edges: DataFrame, pages: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
     """block_id, doc_id, page_num, num, a, b: edge lines with a key that is on at least `least` pages and `share` of the
     document's pages."""
-    rows = edges.select("block_id", "doc_id", "page_num", "num", "a", "b")
-    counted = rows.groupBy("doc_id", "num", "page_num").agg(F.lit(1)).groupBy("doc_id", "num").agg(F.count("*").alias("on")).where(F.col("on") >= least)
-    kept = counted.join(pages, "doc_id").where(F.col("on") >= F.col("pages") * share).select("doc_id", "num")
-    return rows.join(kept, ["doc_id", "num"])
+    lines = edges.select("doc_id", "num", "page_num").repartition(shuffle_partitions(edges.sparkSession), "doc_id", "num")
+    counted = lines.groupBy("doc_id", "num", "page_num").agg(F.lit(1)).groupBy("doc_id", "num").agg(F.count("*").alias("on")).where(F.col("on") >= least)
+    kept = cut(counted.join(pages, "doc_id").where(F.col("on") >= F.col("pages") * share).select("doc_id", "num"))
+    return bounded(kept, edges.select("block_id", "doc_id", "page_num", "num", "a", "b"), ["doc_id", "num"])
 
 
-def running_lines(signs: DataFrame, pages: DataFrame, blocks: DataFrame) -> DataFrame:
+def running_lines(edges: DataFrame, pages: DataFrame, blocks: DataFrame) -> DataFrame:
     """block_id, doc_id, page_num, num: the recurring lines at the head or foot of their page.
 
     Where all keyed lines at one edge of a block recur and more lines follow, the next EDGE lines of these blocks are
     keyed too, and so on: furniture of any height is found, while a line inside a text is none.
     """
-    found, depth = cut(recurring_lines(signs.where("kind = 'edge'"), pages)), EDGE
+    pages = cut(pages)
+    found, depth = cut(recurring_lines(edges, pages)), EDGE
     parts = [found]
     while True:
         places = found.where("b = 'more'").select("block_id", F.explode(F.split("a", " ")).alias("place")).distinct()
@@ -472,7 +486,7 @@ def running_lines(signs: DataFrame, pages: DataFrame, blocks: DataFrame) -> Data
                 yield _batch([r for block, doc, page, order, text, side in rows for r in _edge_rows((block, doc, page, order), _content(text)[1], low, low + EDGE, page, side)])
 
         deeper = bounded(sides, scanned(blocks).select(F.col("block_id").cast("bigint"), "doc_id", "page_num", "order_index", "text"), ["block_id"])
-        found = cut(recurring_lines(deeper.select("block_id", "doc_id", "page_num", "order_index", "text", "sides").mapInArrow(run, SIGN_SCHEMA), pages))
+        found = cut(recurring_lines(cut(deeper.select("block_id", "doc_id", "page_num", "order_index", "text", "sides").mapInArrow(run, SIGN_SCHEMA)), pages))
         parts.append(found)
         depth += EDGE
 
@@ -501,7 +515,8 @@ class ScanNoise:
         self.words = cut(word_table(blocks))
         self.groups = word_groups(self.words)
         self.judged = cut(judged_words(self.words))
-        self.signs = cut(noise_signs(blocks, self.judged))
+        signs = cut(noise_signs(blocks, self.judged))
+        self.edges, self.signs = signs.where("kind = 'edge'"), cut(signs.where("kind <> 'edge'"))
 
     def misread(self) -> DataFrame:
         return misread_blocks(self.signs, self.judged, self.blocks)
@@ -510,7 +525,7 @@ class ScanNoise:
         return broken_words(self.signs, self.groups, self.words)
 
     def running(self) -> DataFrame:
-        return running_lines(self.signs, document_pages(self.blocks), self.blocks)
+        return running_lines(self.edges, document_pages(self.blocks), self.blocks)
 
     def found(self) -> DataFrame:
         """block_id, noise: one row per scanned block and kind of noise."""
