@@ -18,7 +18,9 @@ from leafwork.session import session  # noqa: E402
 
 try:
     from leafwork.llm import queries as corpus
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("leafwork.llm", "leafwork.llm.queries"):
+        raise
     corpus = None
 
 HEADLINE = (

@@ -34,6 +34,9 @@ INDEXED = (
 # Footnote markers inside a text, by kind; group 1 is the marker.
 FOOTNOTE_MARKERS = (r"[A-Za-z0-9]([ª²³⁰-⁹])", r"[A-Za-z0-9\)\]]([*†‡§¶])", r"\[(\d{1,3})\]", r"\(([a-z])\)")
 LEADING_MARKER = r"^[\(\[]?\s*([a-z]|\d{1,3}|[*†‡§¶])\s*[\)\]\.\:]?\s+"
+# Markers a chunk starts with, alone and before its body.
+CHUNK_MARKER = r"^\s*(\d+|\([a-z]\)|\([A-Z]\)|[A-Z]\d?|\([ivx]+\))[\.\s]"
+MARKER_AND_BODY = r"(?i)^\s*(\d+|\([a-z]\)|\([A-Z]\)|[A-Z]\d*|\([ivx]+\))\s+"
 # Spelled-out English numbers.
 _ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 _TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
@@ -149,6 +152,18 @@ def leading_marker(text: Column) -> Column:
     return F.when(found != "", found)
 
 
+def chunk_marker(text: Column) -> Column:
+    """The marker a chunk starts with; null if there is none."""
+    found = F.regexp_extract(text, CHUNK_MARKER, 1)
+    return F.when(found != "", found)
+
+
+def marker_and_body(text: Column) -> Column:
+    """Struct (marker, body): the leading marker, null if there is none, and the trimmed rest."""
+    found = F.regexp_extract(text, MARKER_AND_BODY, 1)
+    return F.struct(F.when(found != "", found).alias("marker"), F.regexp_replace(F.regexp_replace(text, MARKER_AND_BODY, ""), r"(?U)^\s+|\s+$", "").alias("body"))
+
+
 def initials(expansion: Column) -> Column:
     words = F.filter(F.split(F.trim(expansion), r"\s+"), lambda w: w != "")
     return F.array_join(F.transform(words, lambda w: F.upper(F.substring(w, 1, 1))), "")

@@ -86,12 +86,25 @@ def recall_report(scores: DataFrame) -> DataFrame:
 
 
 def mentioned(values: DataFrame, texts: DataFrame) -> DataFrame:
-    """key, value, hit: whether a value stands in any text of its key, case aside; null values have no row.
+    """key, value, hit: whether a value stands in any text of its key, case aside; null and blank values have no row.
 
-    `values` has few values per key; the texts meet them in an equi join on (key, first word).
+    `texts` has key, text and, if there is one, block_id. A value and a text meet by the value's longest inner word, or, without one, by the
+    words of the key's texts that contain its longest word; only then the text is looked at, so that it does not travel
+    with each of its words.
     """
-    first = lambda c: F.regexp_extract(F.lower(c), r"([\p{L}\p{N}]+)", 1)
-    asked = values.where("value is not null").select("key", "value", first(F.col("value")).alias("word")).distinct()
-    words = texts.select("key", F.lower("text").alias("body"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("word"))
-    hits = asked.join(words, ["key", "word"]).where(F.contains("body", F.lower("value"))).select("key", "value").distinct().withColumn("hit", F.lit(True))
+    runs = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    texts = texts if "block_id" in texts.columns else texts.withColumn("block_id", F.xxhash64("text"))
+    asked = values.where(F.length(F.trim("value")) > 0).select("key", "value").distinct().withColumn("w", runs(F.col("value")))
+    near = texts.join(asked.select("key").distinct(), "key", "left_semi").where("text is not null")
+    spread = near.select("key", "block_id", F.explode(F.array_distinct(runs(F.col("text")))).alias("word"))
+    longest = lambda words: F.array_max(F.transform(words, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    inner = F.slice("w", F.lit(2), F.greatest(F.size("w") - 2, F.lit(0)))
+    exact = asked.where(F.size("w") > 2).select("key", "value", longest(inner).alias("word"))
+    parts = asked.where((F.size("w") > 0) & (F.size("w") <= 2)).select("key", "value", longest(F.col("w")).alias("part"))
+    words = spread.select("key", "word").distinct().join(parts.select("key", "part").distinct(), "key").where(F.contains("word", "part"))
+    looked = exact.unionByName(parts.join(words, ["key", "part"]).select("key", "value", "word"))
+    pairs = looked.join(spread, ["key", "word"]).select("key", "value", "block_id").distinct()
+    signs = asked.where(F.size("w") == 0).select("key", "value").join(near.select("key", "block_id"), "key")
+    bodies = near.select("key", "block_id", F.lower("text").alias("body"))
+    hits = pairs.unionByName(signs).join(bodies, ["key", "block_id"]).where(F.contains("body", F.lower("value"))).select("key", "value").distinct().withColumn("hit", F.lit(True))
     return asked.select("key", "value").join(hits, ["key", "value"], "left").select("key", "value", F.coalesce("hit", F.lit(False)).alias("hit"))

@@ -25,10 +25,14 @@ def page_profile(manifest: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def quality_gate(rows: DataFrame, least: int = 40, most: int = 600, redaction: float = 0.1) -> DataFrame:
-    """`rows` and reason: why the first failing test of pages and redaction fails; null for those that pass."""
+def quality_gate(rows: DataFrame, least: int = 40, most: int = 600, redaction: float = 0.1, blank: float = 0.05) -> DataFrame:
+    """`rows` and reason: why the first failing test of pages, blank pages and redaction fails; null for those that pass.
+
+    blank_pages is tested where the rows have it; unknown values fail only the test of pages.
+    """
     pages, share = F.col("n_pages"), F.col("redaction_area_fraction")
-    return rows.withColumn("reason", F.when(pages.isNull() | (pages < least), "too_short").when(pages > most, "too_long").when(share > redaction, "redacted"))
+    empty = F.col("blank_pages") / F.greatest(pages, F.lit(1)) > blank if "blank_pages" in rows.columns else F.lit(False)
+    return rows.withColumn("reason", F.when(pages.isNull() | (pages < least), "too_short").when(pages > most, "too_long").when(empty, "blank").when(share > redaction, "redacted"))
 
 
 def censored(blocks: DataFrame, characters: int = 20, share: float = 0.3) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafwork.functions import lookups
 from leafwork.functions import text as T
+from leafwork.operators.matching import evidence
 from leafwork.operators.ordered import running_sum
 
 # Definitions of acronyms, expansion first and acronym first; cues of negation with their kind.
@@ -21,9 +22,23 @@ NEGATION_CUES = (
     (r"without any|absence of|free of", "definite"), (r"history of|hx of|prior history of", "history"), (r"family history of", "family"),
     (r"possible|possibly|suspect(?:ed|s)?|probable|likely", "possible"), (r"do(?:es)? not have", "definite"), (r"must not have", "definite"), (r"should not have", "definite"),
 )
+# Fixed value: the pattern of mentions that are looked up in the index.
+INLINE = r"(?i)\b(?:Section|Sec\.?|Table|Figure|Fig\.?|Appendix)\s+(?:\d+(?:\.\d+)*|[A-Z]\d*)"
 _PLACE = ("page_num", "order_index", "block_id")
 
 
+def _placed(pieces: Column) -> Column:
+    """The pieces of a text as (start_pos, piece), offsets from 0; the running offset is folded once for all of them."""
+    empty = F.array().cast("array<struct<start_pos:int,piece:string>>")
+    step = lambda s, p: F.struct((s["at"] + F.length(p)).alias("at"), F.concat(s["out"], F.array(F.struct(s["at"].alias("start_pos"), p.alias("piece")))).alias("out"))
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"])
+
+
+def _marked(text: Column, pattern: str) -> Column:
+    """Every match of the pattern as (start_pos, piece): the text is marked around the matches and cut at the marks."""
+    return F.filter(_placed(F.split(F.regexp_replace(text, f"({pattern})", "\x1e$1\x1e"), "\x1e")), lambda m, k: k % 2 == 1)
+
+
 def reference_mentions(blocks: DataFrame) -> DataFrame:
     """doc_id, kind, target, place, ordinal, surface: every indexed reference of every block."""
     parts = []
@@ -53,8 +68,7 @@ def resolved_mentions(blocks: DataFrame, index: DataFrame) -> DataFrame:
     Mentions are distinct by lower case within a block, the first spelling stays; of entries with one surface the one
     with the greatest target counts.
     """
-    pattern = r"(?i)\b(?:Section|Sec\.?|Table|Figure|Fig\.?|Appendix)\s+(?:\d+(?:\.\d+)*|[A-Z]\d*)"
-    rows = blocks.where(F.col("text").rlike(pattern)).select("block_id", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("ordinal", "surface"))
+    rows = blocks.where(F.col("text").rlike(INLINE)).select("block_id", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(INLINE), F.lit(0))).alias("ordinal", "surface"))
     first = rows.groupBy("block_id", "doc_id", F.lower("surface").alias("key")).agg(F.min_by("surface", "ordinal").alias("surface"))
     known = index.groupBy("doc_id", F.lower("surface").alias("key")).agg(F.max_by("target_id", "target").alias("target_id"))
     low = F.col("key")
@@ -80,14 +94,78 @@ def acronym_uses(blocks: DataFrame, definitions: DataFrame) -> DataFrame:
 
     Texts are cut into words once and joined with the dictionary on the word; no pattern is compiled per acronym.
     """
-    marked = F.regexp_replace("text", r"([A-Z]{2,10}s?)", "\x1e$1\x1e")
-    pieces = F.split(marked, "\x1e")
-    rows = blocks.where(F.col("text").rlike("[A-Z]{2}")).select("block_id", "doc_id", "text", F.posexplode(pieces).alias("k", "word"), pieces.alias("pieces"))
-    start = F.aggregate(F.slice("pieces", F.lit(1), F.col("k")), F.lit(0), lambda n, p: n + F.length(p))
-    words = rows.where("k % 2 = 1").withColumn("start_pos", start)
-    edge = lambda at: F.when(at < 1, "").otherwise(F.substring(F.col("text"), at, F.lit(1)))
-    alone = ~edge(F.col("start_pos")).rlike(r"[\p{L}\p{N}_]") & ~edge(F.col("start_pos") + F.length("word") + 1).rlike(r"[\p{L}\p{N}_]")
-    return words.where(alone).join(definitions.withColumnRenamed("acronym", "word"), ["doc_id", "word"]).select("block_id", F.col("word").alias("acronym"), "start_pos", "expansion")
+    rows = blocks.where(F.col("text").rlike("[A-Z]{2}")).select("block_id", "doc_id", "text", F.explode(_marked(F.col("text"), "[A-Z]{2,10}s?")).alias("m"))
+    words = rows.select("block_id", "doc_id", "m.start_pos", F.col("m.piece").alias("word"), whole_word(F.col("text"), F.col("m.start_pos"), F.length("m.piece")).alias("alone"))
+    return words.where("alone").join(definitions.withColumnRenamed("acronym", "word"), ["doc_id", "word"]).select("block_id", F.col("word").alias("acronym"), "start_pos", "expansion")
+
+
+def whole_word(text: Column, start: Column, length: Column) -> Column:
+    """Whether no letter, digit or underscore touches the part of the text at this offset."""
+    edge = lambda at: F.when(at < 1, "").otherwise(F.substring(text, at, F.lit(1)))
+    return ~edge(start).rlike(r"[\p{L}\p{N}_]") & ~edge(start + length + 1).rlike(r"[\p{L}\p{N}_]")
+
+
+def defined_term_uses(blocks: DataFrame, glossary: DataFrame, least: int = 4) -> DataFrame:
+    """block_id, term, surface, start_pos, end_pos, source_id: whole-word uses of the document's terms, case aside.
+
+    `glossary` has doc_id, term, source_id; terms under `least` characters and without words are not looked for. A term
+    and a text meet in an equi join on (document, first word of the term), with the words' offsets; the rest of the term is
+    then compared at its offset. Texts of one document are never tried against all of its terms.
+    """
+    word = r"[\p{L}\p{N}_]+"
+    first = F.regexp_extract(F.lower("term"), f"({word})", 1)
+    terms = glossary.where(F.length("term") >= least).select("doc_id", "term", "source_id", first.alias("word"), (F.instr(F.lower(F.col("term")), first) - 1).alias("lead")).where("word <> ''")
+    near = blocks.where("text is not null").join(terms.select("doc_id").distinct(), "doc_id", "left_semi")
+    words = near.select("doc_id", "block_id", F.explode(_marked(F.col("text"), word)).alias("m")).select("doc_id", "block_id", F.lower("m.piece").alias("word"), "m.start_pos")
+    met = words.join(terms, ["doc_id", "word"]).select("block_id", "term", "source_id", (F.col("start_pos") - F.col("lead")).alias("start_pos")).where("start_pos >= 0")
+    texts = met.join(near.select("block_id", "text"), "block_id")
+    size = F.length("term")
+    surface = F.substring(F.col("text"), F.col("start_pos") + 1, size)
+    edge = lambda c: c.rlike(r"^[\p{L}\p{N}_]")
+    at = lambda k: F.when(k < 1, "").otherwise(F.substring(F.col("text"), k, F.lit(1)))
+    borders = (edge(at(F.col("start_pos"))) != edge(F.substring("term", 1, 1))) & (edge(at(F.col("start_pos") + size + 1)) != edge(F.substring(F.col("term"), -1, 1)))
+    hits = texts.where((F.lower(surface) == F.lower("term")) & borders)
+    return hits.select("block_id", "term", surface.alias("surface"), "start_pos", (F.col("start_pos") + size).alias("end_pos"), "source_id").distinct()
+
+
+def glossary_sources(terms: DataFrame, blocks: DataFrame) -> DataFrame:
+    """doc_id, term, source_id: the first block, in reading order, whose text contains the term, case aside; null if none.
+
+    `terms` has doc_id, term; `blocks` has doc_id, block_id, page_num, order_index, text.
+    """
+    place = F.struct("page_num", "order_index", "block_id")
+    claims = terms.where(F.length("term") > 0).select("doc_id", "term").distinct().withColumn("claim_id", F.struct("doc_id", "term"))
+    texts = blocks.where("text is not null").select("doc_id", place.alias("block_id"), F.lower("text").alias("text"))
+    found = evidence(claims.select("doc_id", "claim_id", F.lower("term").alias("text")), texts).where("tier = 1")
+    return claims.join(found.select("claim_id", F.col("block_id.block_id").alias("source_id")), "claim_id", "left").select("doc_id", "term", "source_id")
+
+
+def extractable(sections: DataFrame) -> DataFrame:
+    """The rows whose functional label hints at any record class."""
+    return sections.where(F.size(lookups.hints(F.col("functional_label"), lookups.CLASS_HINTS)) > 0)
+
+
+def hinted(sections: DataFrame, record_class: str) -> DataFrame:
+    """The rows whose functional label hints at this record class."""
+    return sections.where(F.array_contains(lookups.hints(F.col("functional_label"), lookups.CLASS_HINTS), record_class))
+
+
+def document_identifiers(sections: DataFrame, blocks: int = 30) -> DataFrame:
+    """doc_id, nct, eudract: the first identifier of each kind in a document's synopsis blocks, or, where it has no
+    synopsis section, in its first `blocks`; the document's own id serves where it is a registry number.
+
+    `sections` has doc_id, seg, page_num, order_index, block_id, text and m11_section.
+    """
+    synopsis = F.coalesce((F.col("m11_section") == "1") | F.col("m11_section").startswith("1."), F.lit(False))
+    place = F.struct(*_PLACE)
+    first = F.row_number().over(Window.partitionBy("doc_id", "seg").orderBy(*_PLACE)) <= blocks
+    head = sections.withColumn("__n", first).where(F.col("__n") | synopsis)
+    ranked = running_sum(head, "__at", F.lit(1).cast("bigint"))
+    has = sections.groupBy("doc_id").agg(F.max(synopsis).alias("__has"))
+    kept = ranked.join(has, "doc_id").where(F.when(F.col("__has"), synopsis).otherwise(F.col("__at") <= blocks))
+    found = kept.select("doc_id", place.alias("at"), T.nct_number(F.col("text")).alias("nct"), T.eudract_number(F.col("text")).alias("eudract"))
+    one = found.groupBy("doc_id").agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in ("nct", "eudract")))
+    return has.select("doc_id").join(one, "doc_id", "left").select("doc_id", F.coalesce("nct", F.when(F.col("doc_id").startswith("NCT"), F.col("doc_id"))).alias("nct"), "eudract")
 
 
 def identifiers(blocks: DataFrame) -> DataFrame:
@@ -112,12 +190,10 @@ def character_budget(blocks: DataFrame, budget: int = 30_000) -> DataFrame:
 def spans(frame: DataFrame, pattern: str, names: tuple[str, ...]) -> DataFrame:
     """`names`, start_pos, end_pos, surface of each match of the pattern, offsets from 0, in the JVM.
 
-    The text is marked around each match and cut at the marks; offsets are sums of the lengths before.
+    Offsets are folded once for each text, and only the matches leave it.
     """
-    pieces = F.split(F.regexp_replace("text", f"({pattern})", "\x1e$1\x1e"), "\x1e")
-    rows = frame.where(F.col("text").rlike(pattern)).select(*names, F.posexplode(pieces).alias("k", "surface"), pieces.alias("pieces"))
-    start = F.aggregate(F.slice("pieces", F.lit(1), F.col("k")), F.lit(0), lambda n, p: n + F.length(p))
-    return rows.where("k % 2 = 1").select(*names, start.alias("start_pos"), (start + F.length("surface")).alias("end_pos"), "surface")
+    rows = frame.where(F.col("text").rlike(pattern)).select(*names, F.explode(_marked(F.col("text"), pattern)).alias("m"))
+    return rows.select(*names, "m.start_pos", (F.col("m.start_pos") + F.length("m.piece")).alias("end_pos"), F.col("m.piece").alias("surface"))
 
 
 def negation_cues(blocks: DataFrame) -> DataFrame:
@@ -140,8 +216,6 @@ def span_overlay(annotations: DataFrame) -> DataFrame:
     neighbouring pieces of one kind are joined again.
     """
     points = annotations.select("key", F.explode(F.array("start_pos", "end_pos")).alias("a")).distinct()
-    from pyspark.sql import Window
-
     per = Window.partitionBy("key").orderBy("a")
     pieces = points.withColumn("b", F.lead("a").over(per)).where("b is not null")
     covered = pieces.join(annotations, "key").where("start_pos <= a and b <= end_pos").groupBy("key", "a", "b").agg(F.max_by("kind", F.struct("priority", "kind")).alias("kind"))

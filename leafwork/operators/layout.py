@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from leafwork.functions import text as T
 
 
+# The reasons a routing decision is explained with.
+REASON_ALL, REASON_PLAIN, REASON_SCANNED = "route-all-to-MinerU: ", "plain prose", "scanned/garbage-text"
+REASON_VISION, REASON_SKIPPED = "VLM required (scanned/garbage-text)", " — remote not configured, page will be skipped"
+REASON_LEGACY, REASON_LOCAL = "structure-aware (Docling legacy path)", "structure-aware locally (no remote available)"
+
+
 @dataclass(frozen=True)
 class Thresholds:
     """Limits of page routing; the defaults are those of the reference rules."""
@@ -76,51 +82,76 @@ def route(features: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     has_tables, many = F.col("table_count") >= limits.tables, F.col("columns") >= limits.columns
     vision = F.col("is_scanned") | (F.col("char_count") == 0) | (F.col("confidence") < limits.text_confidence)
     if limits.layout_model and limits.remote:
-        why = F.concat_ws("; ", F.when(vision, "scanned/garbage-text"), F.when(has_tables, F.concat("table_count", F.lit(" table region(s)"))), F.when(many, F.concat("columns", F.lit("-column"))))
-        why = F.concat(F.lit("route-all-to-MinerU: "), F.when(why == "", "plain prose").otherwise(why))
+        why = F.concat_ws("; ", F.when(vision, REASON_SCANNED), F.when(has_tables, F.concat("table_count", F.lit(" table region(s)"))), F.when(many, F.concat("columns", F.lit("-column"))))
+        why = F.concat(F.lit(REASON_ALL), F.when(why == "", REASON_PLAIN).otherwise(why))
         return features.withColumns({"primary_route": F.lit("mineru"), "fallback_routes": F.lit("pymupdf"), "reason": why, "remote_required": F.lit(True)})
     rest, fallback = ("docling", "pdfplumber,pymupdf") if limits.remote else ("pdfplumber", "pymupdf")
-    note = "" if limits.remote else " — remote not configured, page will be skipped"
-    local = "structure-aware (Docling legacy path)" if limits.remote else "structure-aware locally (no remote available)"
+    note = "" if limits.remote else REASON_SKIPPED
+    local = REASON_LEGACY if limits.remote else REASON_LOCAL
     return features.withColumns({
         "primary_route": F.when(vision, "qwen_vl").otherwise(rest), "fallback_routes": F.when(vision, "").otherwise(fallback),
-        "reason": F.when(vision, "VLM required (scanned/garbage-text)" + note).otherwise(local), "remote_required": F.when(vision, True).otherwise(limits.remote),
+        "reason": F.when(vision, REASON_VISION + note).otherwise(local), "remote_required": F.when(vision, True).otherwise(limits.remote),
     })
 
 
+_STRIPPED = r"(?U)^\s+|\s+$"
+
+
 def body_font_size(spans: DataFrame) -> DataFrame:
-    """doc_id, page_num, body_size: the median font size weighted by characters."""
-    size = F.expr("percentile(size, 0.5, greatest(length(text), 0))")
-    return spans.where("length(text) > 0").groupBy("doc_id", "page_num").agg(size.alias("body_size"))
-
-
-def font_class(size: Column, body: Column, text: Column, y0: Column, y1: Column, height: float = 792.0) -> Column:
-    """Block class from font and place: page furniture, footnote, heading, list, paragraph; the first rule that fits."""
-    short = (F.length(text) < 120) & ~F.contains(text, F.lit("\n"))
-    bullet = text.rlike(r"^\s*(?:[•‣●◦⁃∙▪–-]|\(?[0-9a-zA-Z]{1,3}[.)])\s+")
-    return (
-        F.when(short & (y1 < height * 0.05), "header").when(short & (y0 > height * 0.95), "footer")
-        .when((size <= body * 0.92) & (y0 > height * 0.7), "footnote")
-        .when((size >= body * 1.15) & (F.length(text) < 250), "heading").when(bullet & (F.length(text) < 200), "list").otherwise("paragraph")
-    )
+    """doc_id, page_num, body_size: the median font size weighted by the characters of the trimmed texts."""
+    length = F.length(F.regexp_replace("text", _STRIPPED, ""))
+    kept = spans.withColumn("__n", length).where("__n > 0 and size > 0")
+    return kept.groupBy("doc_id", "page_num").agg(F.expr("percentile(size, 0.5, __n)").alias("body_size"))
+
+
+def font_class(size: Column, body: Column, text: Column, y0: Column, height: float = 792.0) -> Column:
+    """Block class from the largest font size and the top of the box.
+
+    By font first: heading, list, paragraph. A short line at the very top or bottom is page furniture whatever its font;
+    a paragraph in small type low on the page is a footnote. An empty text is other, one without sizes a paragraph.
+    """
+    bare = F.regexp_replace(text, _STRIPPED, "")
+    heading = (body > 0) & (size >= body * 1.15) & (F.length(bare) < 250)
+    bullet = (F.length(bare) < 200) & F.substring(bare, 1, 2).isin("- ", "* ", "• ")
+    font = F.when(F.coalesce(F.length(bare), F.lit(0)) == 0, "other").when(size.isNull(), "paragraph").when(heading, "heading").when(bullet, "list").otherwise("paragraph")
+    short, top = (F.length(bare) < 120) & ~F.contains(bare, F.lit("\n")), y0 / height
+    small = (font == "paragraph") & (body > 0) & (size <= body * 0.92) & (top >= 0.7)
+    return F.when(font == "other", font).when(short & (top < 0.05), "header").when(short & (top > 0.95), "footer").when(small, "footnote").otherwise(font)
+
+
+def figures(images: DataFrame, width: float = 612.0, height: float = 792.0, least: float = 0.005) -> DataFrame:
+    """The images (with a box) that take at least this share of their page; smaller ones are logos and rules."""
+    return images.where(box_area(F.col("bbox")) >= least * width * height)
 
 
 def paragraphs(words: DataFrame) -> DataFrame:
-    """doc_id, page_num, paragraph, line, text: words (x0, top, bottom, text) to lines to paragraphs.
+    """doc_id, page_num, paragraph, line, text: words (word_no, top, bottom, text) to lines to paragraphs.
 
-    A new line starts when the top changes by more than 3 points, a new paragraph when the gap above a line exceeds 1.8
-    times the page's median gap and 6 points. Pages bound the windows.
+    A word begins a line when its top differs by more than 3 points from that of the line's first word; a line begins a
+    paragraph when the gap above exceeds 1.8 times the page's usual gap and 6 points. The usual gap is the upper median of
+    the positive ones, 4 if there are none. Which word begins a line depends on the line before, so a page is walked in
+    Python; a page bounds the group.
     """
-    page = Window.partitionBy("doc_id", "page_num")
-    by_place = page.orderBy("top", "x0")
-    new_line = F.when(F.abs(F.col("top") - F.lag("top").over(by_place)) > 3, 1).otherwise(0)
-    lined = words.withColumn("__new", new_line).withColumn("line", F.sum("__new").over(by_place))
-    piece = F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda w: w["text"])
-    lines = lined.groupBy("doc_id", "page_num", "line").agg(F.array_join(piece, " ").alias("text"), F.min("top").alias("top"), F.max("bottom").alias("bottom"))
-    gapped = lines.withColumn("gap", F.col("top") - F.lag("bottom").over(page.orderBy("line")))
-    usual = gapped.withColumn("usual", F.median("gap").over(page))
-    new = F.when(F.col("gap") > F.greatest(F.col("usual") * 1.8, F.lit(6.0)), 1).otherwise(0)
-    return usual.withColumn("__p", new).withColumn("paragraph", F.sum("__p").over(page.orderBy("line"))).select("doc_id", "page_num", "paragraph", "line", "text")
+    schema = "doc_id string, page_num int, paragraph int, line int, text string"
+
+    def run(page: pd.DataFrame) -> pd.DataFrame:
+        lines: list[list] = []
+        for top, bottom, text in page.sort_values("word_no", kind="stable")[["top", "bottom", "text"]].itertuples(index=False, name=None):
+            if not lines or abs(top - lines[-1][0]) > 3:
+                lines.append([top, bottom, [text]])
+            else:
+                lines[-1][1] = max(lines[-1][1], bottom)
+                lines[-1][2].append(text)
+        gaps = [b[0] - a[1] for a, b in zip(lines, lines[1:])]
+        usual = sorted(g for g in gaps if g > 0)
+        least = max((usual[len(usual) // 2] if usual else 4.0) * 1.8, 6.0)
+        number, out = 0, []
+        for i, (_, _, texts) in enumerate(lines):
+            number += i > 0 and gaps[i - 1] > least
+            out.append((page["doc_id"].iloc[0], page["page_num"].iloc[0], number, i, " ".join(texts)))
+        return pd.DataFrame(out, columns=[n.split()[0] for n in schema.split(", ")])
+
+    return words.groupBy("doc_id", "page_num").applyInPandas(run, schema)
 
 
 def indent_levels(blocks: DataFrame, tolerance: float = 5.0) -> DataFrame:
@@ -174,49 +205,86 @@ def attach_points(points: DataFrame, blocks: DataFrame) -> DataFrame:
     return p.join(b, hit).groupBy(F.col("p.point_id").alias("point_id")).agg(best)
 
 
-def arrowheads(segments: DataFrame, longest: float = 20.0, shortest: float = 3.0, bucket: float = 3.0) -> DataFrame:
-    """doc_id, page_num, a, b, x, y, angle: pairs of short oblique segments that meet in a bucketed end point at 20 to 170°.
+def arrowheads(segments: DataFrame, longest: float = 20.0, shortest: float = 3.0, near: float = 1.0, least: float = 20.0, most: float = 170.0) -> DataFrame:
+    """doc_id, page_num, head_no, a, b, x, y, dx, dy, leg: pairs of short oblique segments that meet in a tip.
 
-    `segments` has segment_id, x0, y0, x1, y1. Only segments between `shortest` and `longest` that follow no axis count;
-    of the buckets in which two segments meet the first stays.
+    `segments` has segment_id, x0, y0, x1, y1. Only segments between `shortest` and `longest` that follow no axis count.
+    End points meet in a bucket of `near` (0.5 at least) and within `near` of each other, their legs open by `least` to
+    `most` degrees. (x, y) is the middle of the two tips, (dx, dy) the unit vector away from the legs, leg their mean length.
+    head_no counts the heads of a page by bucket as first met, then by segment; a pair that meets twice counts once.
     """
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    size = F.sqrt(dx * dx + dy * dy)
-    legs = segments.where((size >= shortest) & (size <= longest) & (F.abs(dx) > 0.5) & (F.abs(dy) > 0.5))
-    end = lambda x, y, ox, oy: F.struct(F.col(x).alias("x"), F.col(y).alias("y"), (F.col(ox) - F.col(x)).alias("dx"), (F.col(oy) - F.col(y)).alias("dy"))
-    ends = legs.select("doc_id", "page_num", "segment_id", F.explode(F.array(end("x0", "y0", "x1", "y1"), end("x1", "y1", "x0", "y0"))).alias("e"))
-    keyed = ends.select("doc_id", "page_num", "segment_id", "e.*", F.round(F.col("e.x") / bucket).alias("bx"), F.round(F.col("e.y") / bucket).alias("by"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    size, bucket = F.sqrt(dx * dx + dy * dy), max(near, 0.5)
+    legs = segments.withColumn("size", size).where((F.col("size") >= shortest) & (F.col("size") <= longest) & (F.abs(dx) >= 0.5) & (F.abs(dy) >= 0.5))
+    end = lambda k, x, y, ox, oy: F.struct(F.lit(k).alias("end"), F.col(x).alias("x"), F.col(y).alias("y"), ((F.col(ox) - F.col(x)) / F.col("size")).alias("vx"), ((F.col(oy) - F.col(y)) / F.col("size")).alias("vy"))
+    ends = legs.select("doc_id", "page_num", "segment_id", "size", F.inline(F.array(end(0, "x0", "y0", "x1", "y1"), end(1, "x1", "y1", "x0", "y0"))))
+    place = F.struct("segment_id", "end")
+    keyed = ends.withColumns({"bx": (F.col("x") / bucket).cast("int"), "by": (F.col("y") / bucket).cast("int"), "at": place})
     keys = ["doc_id", "page_num", "bx", "by"]
-    pairs = a.join(b, keys).where("a.segment_id < b.segment_id")
-    dot = F.col("a.dx") * F.col("b.dx") + F.col("a.dy") * F.col("b.dy")
-    norm = F.sqrt((F.col("a.dx") ** 2 + F.col("a.dy") ** 2) * (F.col("b.dx") ** 2 + F.col("b.dy") ** 2))
-    angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot / norm))))
-    met = pairs.select("doc_id", "page_num", F.col("a.segment_id").alias("a"), F.col("b.segment_id").alias("b"), "bx", "by", F.col("a.x").alias("x"), F.col("a.y").alias("y"), angle.alias("angle"))
-    first = F.min_by(F.struct("x", "y", "angle"), F.struct("bx", "by")).alias("m")
-    return met.where("angle between 20 and 170").groupBy("doc_id", "page_num", "a", "b").agg(first).select("doc_id", "page_num", "a", "b", "m.x", "m.y", "m.angle")
-
-
-def pair_arrows(heads: DataFrame, axis: float = 5.0) -> DataFrame:
-    """doc_id, page_num, tail, head: each arrowhead greedily paired with the nearest unused one of its page on its axis.
-
-    Pairing depends on what was used before, so it runs page by page in Python; a page bounds the group.
+    first = keyed.groupBy(*keys).agg(F.min("at").alias("first"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    pairs = a.join(b, keys).where("a.at < b.at and a.segment_id <> b.segment_id").join(first, keys)
+    apart = F.sqrt((F.col("a.x") - F.col("b.x")) ** 2 + (F.col("a.y") - F.col("b.y")) ** 2)
+    dot = F.col("a.vx") * F.col("b.vx") + F.col("a.vy") * F.col("b.vy")
+    ux, uy = -(F.col("a.vx") + F.col("b.vx")) / 2, -(F.col("a.vy") + F.col("b.vy")) / 2
+    norm = F.sqrt(ux * ux + uy * uy)
+    met = pairs.select(
+        "doc_id", "page_num", F.col("a.segment_id").alias("a"), F.col("b.segment_id").alias("b"), F.struct("first", "a.at", F.col("b.at").alias("bt")).alias("order"), apart.alias("apart"),
+        F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))).alias("angle"), ((F.col("a.x") + F.col("b.x")) / 2).alias("x"), ((F.col("a.y") + F.col("b.y")) / 2).alias("y"),
+        norm.alias("norm"), (ux / norm).alias("dx"), (uy / norm).alias("dy"), ((F.col("a.size") + F.col("b.size")) / 2).alias("leg"),
+    ).where((F.col("apart") <= near) & F.col("angle").between(least, most) & (F.col("norm") >= 1e-6))
+    once = met.groupBy("doc_id", "page_num", "a", "b").agg(F.min(F.struct("order", "x", "y", "dx", "dy", "leg")).alias("m"))
+    number = F.row_number().over(Window.partitionBy("doc_id", "page_num").orderBy("m.order")).cast("bigint")
+    return once.select("doc_id", "page_num", number.alias("head_no"), "a", "b", "m.x", "m.y", "m.dx", "m.dy", "m.leg")
+
+
+def pair_arrows(heads: DataFrame, axis: float = 3.0, least: float = 10.0, shaft: float = 20.0) -> DataFrame:
+    """doc_id, page_num, arrow_no, x0, y0, x1, y1, axis, two_headed: arrows from heads (head_no, x, y, dx, dy).
+
+    Heads in their order take the nearest later unused head of the same axis that lies within `axis` of their line, at
+    least `least` away, and points the opposite way. What stays single is an arrow of one head with a shaft of `shaft`
+    points. Pairing depends on what was used before, so it runs page by page in Python; a page bounds the group.
     """
+    schema = "doc_id string, page_num int, arrow_no int, x0 double, y0 double, x1 double, y1 double, axis string, two_headed boolean"
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
-        rows = page.sort_values(["x", "y", "head_id"]).to_dict("records")
-        used, out = set(), []
+        rows = page.sort_values("head_no", kind="stable")[["x", "y", "dx", "dy"]].to_numpy(float)
+        flat = [abs(dx) >= abs(dy) for _, _, dx, dy in rows]
+        used: set[int] = set()
+        out: list[tuple] = []
         for i, one in enumerate(rows):
             if i in used:
                 continue
-            near = [(abs(o["x"] - one["x"]) + abs(o["y"] - one["y"]), k) for k, o in enumerate(rows) if k > i and k not in used and (abs(o["y"] - one["y"]) <= axis or abs(o["x"] - one["x"]) <= axis)]
-            if near:
-                k = min(near)[1]
-                used |= {i, k}
-                out.append((one["doc_id"], one["page_num"], one["head_id"], rows[k]["head_id"]))
-        return pd.DataFrame(out, columns=["doc_id", "page_num", "tail", "head"])
-
-    return heads.groupBy("doc_id", "page_num").applyInPandas(run, "doc_id string, page_num int, tail bigint, head bigint")
+            along, across = (0, 1) if flat[i] else (1, 0)
+            spans = []
+            for j in range(i + 1, len(rows)):
+                other = rows[j]
+                span = abs(one[along] - other[along])
+                if j not in used and flat[j] == flat[i] and abs(one[across] - other[across]) <= axis and (one[2 + along] > 0) != (other[2 + along] > 0) and span >= least:
+                    spans.append((span, j))
+            if spans:
+                _, j = min(spans)
+                used |= {i, j}
+                out.append((*one[:2], *rows[j][:2], "horizontal" if flat[i] else "vertical", True))
+        for i, (x, y, dx, dy) in enumerate(rows):
+            if i not in used:
+                out.append((x - dx * shaft, y - dy * shaft, x, y, "horizontal" if flat[i] else "vertical", False))
+        where = page["doc_id"].iloc[0], page["page_num"].iloc[0]
+        return pd.DataFrame([(*where, k, *r) for k, r in enumerate(out)], columns=[n.split()[0] for n in schema.split(", ")])
+
+    return heads.groupBy("doc_id", "page_num").applyInPandas(run, schema)
+
+
+def table_columns(cells: DataFrame, *key: str) -> DataFrame:
+    """doc_id, page_num, max_cols: of each page the most distinct left edges (to a tenth of a point) of one table's cells
+    (with x0); `key` tells the tables of a page apart."""
+    per = cells.where("x0 is not null").groupBy("doc_id", "page_num", *key).agg(F.count_distinct(F.round("x0", 1)).alias("n"))
+    return per.groupBy("doc_id", "page_num").agg(F.max("n").alias("max_cols"))
+
+
+def flipped(box: Column, height: Column) -> Column:
+    """A box measured from the bottom of the page as one measured from its top."""
+    return F.struct(box["x0"].alias("x0"), (height - F.greatest(box["y0"], box["y1"])).alias("y0"), box["x1"].alias("x1"), (height - F.least(box["y0"], box["y1"])).alias("y1"))
 
 
 def redaction_pages(marks: DataFrame, pages: DataFrame, width: float = 612.0, height: float = 792.0) -> DataFrame:

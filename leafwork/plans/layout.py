@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafwork.functions import lookups
 from leafwork.functions import text as T
-from leafwork.operators import layout, nested
+from leafwork.operators import layout, nested, records
 from leafwork.plans.nested import payload_nodes
 from leafwork.plans.registry import Registry
 from leafwork.plans.sections import BLOCKS_SQL, blocks
@@ -61,7 +62,14 @@ def page_routes(spark: SparkSession, root: str) -> DataFrame:
     return layout.route(features).select("doc_id", "page_num", "primary_route", "remote_required")
 
 
-@registry.add("route_audit")
+_WHY_SQL = """CASE WHEN is_scanned OR char_count = 0 OR confidence < 0.7 THEN '{0}' END, CASE WHEN table_count >= 1 THEN table_count || ' table region(s)' END, CASE WHEN coalesce(columns, 1) >= 2 THEN columns || '-column' END""".format(layout.REASON_SCANNED)
+
+
+@registry.add(
+    "route_audit",
+    f"""WITH {_FEATURES_SQL}, {_COLUMNS_SQL}, w AS (SELECT concat_ws('; ', {_WHY_SQL}) AS why FROM features LEFT JOIN columns USING (doc_id, page_num))
+    SELECT 'mineru' AS primary_route, '{layout.REASON_ALL}' || CASE WHEN why = '' THEN '{layout.REASON_PLAIN}' ELSE why END AS reason, count(*) AS n FROM w GROUP BY ALL""",
+)
 def route_audit(spark: SparkSession, root: str) -> DataFrame:
     rows = blocks(spark, root)
     features = layout.page_features(rows).join(layout.column_estimate(rows), ["doc_id", "page_num"], "left").fillna(1, ["columns"])
@@ -172,3 +180,75 @@ def markdown_tables(spark: SparkSession, root: str) -> DataFrame:
     rows = blocks(spark, root).where("block_type = 'table' and text <> ''")
     cells = F.transform(F.split("text", "\n", -1), lambda line: F.transform(F.split(line, r"\|", -1), lambda c: F.trim(c)))
     return rows.select("block_id", adapters.markdown_table(cells).alias("markdown"))
+
+
+@registry.add(
+    "prefetch_plan",
+    f"""WITH {_FEATURES_SQL}, p AS (SELECT doc_id, page_num, CASE WHEN is_scanned OR char_count = 0 OR confidence < 0.7 THEN 'qwen_vl' ELSE 'pdfplumber' END AS route FROM features)
+    SELECT doc_id, route, CAST(floor(page_num / 64) AS INTEGER) AS batch, string_agg(CAST(page_num AS VARCHAR), ',' ORDER BY page_num) AS pages FROM p GROUP BY ALL""",
+)
+def prefetch_plan(spark: SparkSession, root: str) -> DataFrame:
+    plan = records.prefetch_plan(page_routes(spark, root))
+    return plan.withColumn("pages", F.array_join(F.col("pages").cast("array<string>"), ","))
+
+
+_REPAIRS = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in lookups.REPAIRED_TYPES.items())
+# The tables hold none of the layout types that are repaired, so some records are given one.
+_GIVEN = "CASE remote_id % 5 WHEN 0 THEN 'Table_Caption' WHEN 1 THEN 'page-number' WHEN 2 THEN json_extract_string(metadata, '$.mineru_type') WHEN 3 THEN 'table_footnote' END"
+
+
+@registry.add("repaired_types", f"SELECT remote_id, coalesce(CASE lower({_GIVEN}) {_REPAIRS} END, block_type) AS block_type FROM remote_blocks")
+def repaired_types(spark: SparkSession, root: str) -> DataFrame:
+    given = F.expr(_GIVEN.replace("json_extract_string", "get_json_object"))
+    return records.repaired_types(table(spark, root, "remote_blocks"), given).select("remote_id", "block_type")
+
+
+_SIZES = "length(coalesce(text, '')) % 9 + 7.0"
+_TOP = "bbox.y0"
+
+
+@registry.add(
+    "font_classes",
+    rf"""WITH s AS (SELECT block_id, trim(regexp_replace(text, '^[\s\v\p{{Z}}\x{{0085}}]+|[\s\v\p{{Z}}\x{{0085}}]+$', '', 'g')) AS t, CASE WHEN block_id % 11 > 0 THEN {_SIZES} END AS size, {_TOP} / 792.0 AS top FROM extracted_blocks),
+    f AS (SELECT *, CASE WHEN coalesce(length(t), 0) = 0 THEN 'other' WHEN size IS NULL THEN 'paragraph' WHEN size >= 10.0 * 1.15 AND length(t) < 250 THEN 'heading' WHEN length(t) < 200 AND t[1:2] IN ('- ', '* ', '• ') THEN 'list' ELSE 'paragraph' END AS font FROM s)
+    SELECT block_id, CASE WHEN font = 'other' THEN font WHEN length(t) < 120 AND NOT contains(t, chr(10)) AND top < 0.05 THEN 'header' WHEN length(t) < 120 AND NOT contains(t, chr(10)) AND top > 0.95 THEN 'footer'
+      WHEN font = 'paragraph' AND size <= 10.0 * 0.92 AND top >= 0.7 THEN 'footnote' ELSE font END AS block_type FROM f""",
+)
+def font_classes(spark: SparkSession, root: str) -> DataFrame:
+    size = F.expr(f"CASE WHEN block_id % 11 > 0 THEN cast({_SIZES} as double) END")
+    return table(spark, root, "extracted_blocks").select("block_id", layout.font_class(size, F.lit(10.0), F.col("text"), F.expr(_TOP)).alias("block_type"))
+
+
+# Segments of our own, drawn over the boxes of the blocks: two legs that meet in the upper left corner of every box, some apart.
+
+
+@registry.add(
+    "arrowheads",
+    """WITH b AS (SELECT block_id, doc_id, page_num, bbox.x0 AS x, bbox.y0 AS y, CAST(block_id % 17 + 1 AS DOUBLE) AS w, CAST(block_id % 7 + 1 AS DOUBLE) AS h FROM extracted_blocks WHERE bbox IS NOT NULL AND doc_id IS NOT NULL AND page_num IS NOT NULL),
+    seg AS (SELECT doc_id, page_num, block_id * 2 AS id, x AS x0, y AS y0, x + w AS x1, y + h AS y1 FROM b UNION ALL SELECT doc_id, page_num, block_id * 2 + 1, x + w, y - h, x + (block_id % 3) * 0.4, y FROM b),
+    legs AS (SELECT *, sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) AS size FROM seg),
+    short AS (SELECT * FROM legs WHERE size BETWEEN 3 AND 20 AND abs(x1 - x0) >= 0.5 AND abs(y1 - y0) >= 0.5),
+    ends AS (
+      SELECT doc_id, page_num, id, 0 AS e, size, x0 AS x, y0 AS y, (x1 - x0) / size AS vx, (y1 - y0) / size AS vy FROM short
+      UNION ALL SELECT doc_id, page_num, id, 1, size, x1, y1, (x0 - x1) / size, (y0 - y1) / size FROM short),
+    keyed AS (SELECT *, CAST(trunc(x) AS INTEGER) AS bx, CAST(trunc(y) AS INTEGER) AS by FROM ends),
+    met AS (
+      SELECT a.doc_id, a.page_num, a.id AS a, b.id AS b, (a.x + b.x) / 2 AS x, (a.y + b.y) / 2 AS y, (a.size + b.size) / 2 AS leg, row_number() OVER (PARTITION BY a.doc_id, a.page_num, a.id, b.id ORDER BY a.e, b.e) AS k,
+        degrees(acos(greatest(-1.0, least(1.0, a.vx * b.vx + a.vy * b.vy)))) AS angle, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS apart
+      FROM keyed a JOIN keyed b ON a.doc_id = b.doc_id AND a.page_num = b.page_num AND a.bx = b.bx AND a.by = b.by AND (a.id, a.e) < (b.id, b.e) AND a.id <> b.id)
+    SELECT doc_id, page_num, a, b, round(min(x), 4) AS x, round(min(y), 4) AS y, round(min(leg), 4) AS leg FROM met WHERE apart <= 1 AND angle BETWEEN 20 AND 170 GROUP BY ALL""",
+)
+def arrowheads(spark: SparkSession, root: str) -> DataFrame:
+    return layout.arrowheads(_segments(spark, root)).select("doc_id", "page_num", "a", "b", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round("leg", 4).alias("leg"))
+
+
+def _segments(spark: SparkSession, root: str) -> DataFrame:
+    b = table(spark, root, "extracted_blocks").where("bbox is not null and doc_id is not null and page_num is not null").selectExpr("block_id", "doc_id", "page_num", "bbox.x0 x", "bbox.y0 y", "cast(block_id % 17 + 1 as double) w", "cast(block_id % 7 + 1 as double) h")
+    one = b.selectExpr("doc_id", "page_num", "block_id * 2 segment_id", "x x0", "y y0", "x + w x1", "y + h y1")
+    return one.unionByName(b.selectExpr("doc_id", "page_num", "block_id * 2 + 1 segment_id", "x + w x0", "y - h y0", "x + (block_id % 3) * cast(0.4 as double) x1", "y y1"))
+
+
+# Pairing is greedy, so there is no SQL; tests hold it against the rule as a state machine.
+@registry.add("arrows")
+def arrows(spark: SparkSession, root: str) -> DataFrame:
+    return layout.pair_arrows(layout.arrowheads(_segments(spark, root)))

@@ -15,10 +15,10 @@ registry = Registry()
 
 # Sentences of our own that are put behind the texts, so that operators on wording absent from the tables run at scale.
 PHRASES = (
-    "See Section 5.1.9 and Table 3a for details.", "As stated in Section 2 and Figure 4, see Appendix B.1 too.", "Serious Adverse Event (SAE) reports go to the sponsor.",
+    "See Section 5.1.9 and Table 3a for details.", "As stated in Section 2 and Figure 4, see Appendix B.1 too.", "Serious Adverse Event (SAE) reports go to the sponsor; Percutaneous Coronary Intervention Trial (PXCIT) and Total Daily Dose (TXQ) are named.",
     "ORR (Objective Response Rate) is the main measure; SAE counts follow.", "Registered as NCT 1234567 and 2021-004567-11, doi 10.1234/abc.5",
     "No evidence of metastasis and no fever was found at least 3 days before.", "Age no more than 75 years, greater than or equal to 18 years, up to 5 mg.",
-    "Family history of stroke; possible infection; must not have asthma.", "(a) first item with footnote marker x* and value [1].", "Doses of 5 mg twice daily po, 10 mg/kg q3w iv.",
+    "Family history of stroke; possible infection; must not have asthma.", "(a) first item with footnote marker x* and value [1].", "Doses of 5 mg twice daily po, 10 mg/kg q3w iv; q6h, qhs, once daily, every 2 weeks, monthly, weekly or as needed.",
     "", "Section 5.1.9 again, section 7.2, SECTION 7.2, Table 3a.",
 )
 _LIST = ", ".join("'" + p.replace("'", "''") + "'" for p in PHRASES)
@@ -109,7 +109,6 @@ def dose_units(spark: SparkSession, root: str) -> DataFrame:
     return units.groupBy("unit").agg(F.count("*").alias("n")).select("unit", lookups.unit_code(F.col("unit")).alias("code"), "n")
 
 
-_WORDS = " ".join(["oral intravenous subcutaneous inhaled topical"])
 _ROUTE = r"(?:^|[^\p{L}])(oral|intravenous|subcutaneous|inhaled|transdermal|topical)"
 _ROUTES_SQL = ", ".join(f"('{k}', '{c}', '{d}')" for k, (c, d) in lookups.ROUTES.items())
 
@@ -129,7 +128,7 @@ def dose_routes(spark: SparkSession, root: str) -> DataFrame:
 _FREQ_SQL = ", ".join(
     "('{}', {}, {}, {}, '{}')".format(k, *("NULL" if x is None else x for x in (v[0], v[1])), "NULL" if v[2] is None else f"'{v[2]}'", v[5]) for k, v in lookups.FREQUENCIES.items()
 )
-_FREQ = r"(?:^|[^\p{L}])(twice daily|once daily|q3w|every 8 hours|prn|daily)"
+_FREQ = r"(?:^|[^\p{L}])(twice daily|once daily|q3w|q6h|qhs|every 8 hours|every 2 weeks|monthly|weekly|as needed|prn|daily)"
 
 
 @registry.add(
@@ -169,11 +168,6 @@ def sentences(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("doc_id", F.col("s.start").alias("start_pos"), F.col("s.end").alias("end_pos"), F.col("s.text").alias("sentence"))
 
 
-@registry.add("languages")
-def languages(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", T.language(F.col("text")).alias("language"))
-
-
 @registry.add("content_hashes", "SELECT doc_id, sha256(text) AS digest, sha256(text)[1:16] AS short FROM documents")
 def content_hashes(spark: SparkSession, root: str) -> DataFrame:
     digest = F.sha2("text", 256)
@@ -183,3 +177,43 @@ def content_hashes(spark: SparkSession, root: str) -> DataFrame:
 @registry.add("slugs", r"SELECT record_id, regexp_replace(trim(title), '[^A-Za-z0-9._-]+', '_', 'g')[1:60] AS slug FROM manifest")
 def slugs(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "manifest").select("record_id", T.slug(F.col("title")).alias("slug"))
+
+
+@registry.add(
+    "chunk_markers",
+    rf"""SELECT block_id, nullif(regexp_extract(text, '{T.CHUNK_MARKER}', 1), '') AS marker, nullif(regexp_extract(text, '{T.MARKER_AND_BODY}', 1), '') AS loose,
+    trim(regexp_replace(text, '{T.MARKER_AND_BODY}', '')) AS body FROM extracted_blocks WHERE text IS NOT NULL""",
+)
+def chunk_markers(spark: SparkSession, root: str) -> DataFrame:
+    split = T.marker_and_body(F.col("text"))
+    return table(spark, root, "extracted_blocks").where("text is not null").select("block_id", T.chunk_marker(F.col("text")).alias("marker"), split["marker"].alias("loose"), split["body"].alias("body"))
+
+
+_LABELS = rf"(?:^|[^\p{{L}}])({'|'.join(sorted(lookups.ENTITY_TYPES, key=len, reverse=True))}|device)(?:$|[^\p{{L}}])"
+_TYPES_SQL = ", ".join(f"('{k}', '{v}')" for k, v in lookups.ENTITY_TYPES.items())
+
+
+@registry.add(
+    "entity_types",
+    rf"""WITH types(label, entity_type) AS (VALUES {_TYPES_SQL}), found AS (SELECT unnest(regexp_extract_all(lower(text), '{_LABELS}', 1)) AS label FROM extracted_blocks)
+    SELECT label, coalesce(entity_type, 'OTHER') AS entity_type, upper(replace(label, ' ', '_')) AS subtype, count(*) AS n FROM found LEFT JOIN types USING (label) GROUP BY ALL""",
+)
+def entity_types(spark: SparkSession, root: str) -> DataFrame:
+    found = table(spark, root, "extracted_blocks").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_LABELS), F.lit(1))).alias("label"))
+    counted = found.groupBy("label").agg(F.count("*").alias("n")).withColumn("t", lookups.entity_type(F.col("label")))
+    return counted.select("label", "t.entity_type", "t.subtype", "n")
+
+
+_SHARE = r"3 * length(regexp_replace(head, '[^\p{{{0}}}]', '', 'g')) > length(regexp_replace(head, '[^\p{{L}}]', '', 'g'))"
+_HITS = ", ".join(f"len(list_filter(words, lambda w: w IN ({', '.join(chr(39) + w + chr(39) for w in frequent.split())}))) AS {lang}" for lang, frequent in T.FREQUENT_WORDS.items())
+
+
+@registry.add(
+    "languages",
+    rf"""WITH h AS (SELECT doc_id, text, lower(text[1:500]) AS head FROM documents), w AS (SELECT *, string_split_regex(head, '[^\p{{L}}]+') AS words FROM h), n AS (SELECT doc_id, text, head, {_HITS} FROM w),
+    b AS (SELECT *, greatest({", ".join(T.FREQUENT_WORDS)}) AS best FROM n)
+    SELECT doc_id, CASE WHEN coalesce(length(text), 0) = 0 THEN 'en' WHEN {_SHARE.format("Han")} THEN 'zh' WHEN {_SHARE.format("Cyrillic")} THEN 'ru' WHEN best = 0 THEN 'en'
+      {" ".join(f"WHEN {lang} = best THEN '{lang}'" for lang in T.FREQUENT_WORDS)} ELSE 'en' END AS language FROM b""",
+)
+def languages(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "documents").select("doc_id", T.language(F.col("text")).alias("language"))

@@ -68,4 +68,8 @@ def test_lookups(spark):
     assert values(spark, lookups.sex, "Women", "x") == ["female", None]
     assert values(spark, lambda c: lookups.longest_prefix(c, lookups.TEMPLATE_SECTIONS), "5.1.2.3", "9.4", "12", None) == ["5.1", "9", None, None]
     assert values(spark, lambda c: lookups.hints(c, lookups.CLASS_HINTS), "dosing", "background", None) == [["StudyIntervention", "Administration", "Strength"], [], []]
+    assert values(spark, lambda c: lookups.entity_type(c)["entity_type"], "lab value", "odd", None) == ["MEASUREMENT", "OTHER", "OTHER"]
+    assert values(spark, lambda c: lookups.repaired_type(F.lit("table"), c), "Table_Caption", "page-number", "text", None) == ["caption", "other", "table", "table"]
+    assert values(spark, T.chunk_marker, "1. a", "(a) b", "A patient", "text", None) == ["1", "(a)", "A", None, None]
+    assert [(r and r.marker, r and r.body) for r in values(spark, T.marker_and_body, "12 text ", "(iv) x", "plain  ")] == [("12", "text"), ("(iv)", "x"), (None, "plain")]
     assert len(lookups.UNITS) < 200 and lookups.UNITS["k/ml"] == "10*3/mL"

@@ -79,7 +79,7 @@ def test_metric_arithmetic(spark):
 
 def test_fuzzy_presence(spark):
     needles = spark.createDataFrame([("k", 1, "a b c d e f"), ("k", 2, "b c"), ("k", 3, ""), ("k", 4, None), ("k", 5, "x y z q"), ("j", 6, "a b c d")], "key string, needle_id int, text string")
-    hay = spark.createDataFrame([("k", "a b c d e"), ("k", "z"), ("k", None)], "key string, text string")
+    hay = spark.createDataFrame([("k", "a b c d e", 0, 0, 1), ("k", "z", 0, 1, 2), ("k", None, None, None, 3)], "key string, text string, page_num int, order_index int, block_id long")
     assert {r.needle_id: (round(r.share, 3), r.present) for r in matching.fuzzy_presence(needles, hay).collect()} == {1: (0.667, True), 2: (1.0, True), 3: (0.0, False), 4: (0.0, False), 5: (0.0, False), 6: (0.0, False)}
 
 
@@ -139,18 +139,136 @@ def test_layout(spark):
     assert {tuple(r) for r in layout.contiguous_ranges(spark.createDataFrame([("d", p) for p in (1, 2, 2, 4, None)], "doc_id string, page_num int")).select("first", "last").collect()} == {(1, 2), (4, 4)}
 
 
-def test_paragraph_islands(spark):
-    words = [("d", 0, 0.0, t, t + 10, w) for t, w in ((0.0, "a"), (12.0, "b"), (24.0, "c"), (60.0, "d"))] + [("d", 0, 20.0, 1.0, 11.0, "a2")]
-    got = layout.paragraphs(spark.createDataFrame(words, "doc_id string, page_num int, x0 double, top double, bottom double, text string"))
-    assert {(r.paragraph, r.text) for r in got.collect()} == {(0, "a a2"), (0, "b"), (0, "c"), (1, "d")}
+def walked_paragraphs(words):
+    """The rule as a state machine, written from its description."""
+    lines = []
+    for _, top, bottom, text in sorted(words):
+        if lines and abs(top - lines[-1]["top"]) <= 3:
+            lines[-1]["bottom"] = max(lines[-1]["bottom"], bottom)
+            lines[-1]["text"] += " " + text
+        else:
+            lines.append({"top": top, "bottom": bottom, "text": text})
+    gaps = [b["top"] - a["bottom"] for a, b in zip(lines, lines[1:])]
+    positive = sorted(g for g in gaps if g > 0)
+    limit = max((positive[len(positive) // 2] if positive else 4.0) * 1.8, 6.0)
+    out, number = [], 0
+    for i, line in enumerate(lines):
+        number += i > 0 and gaps[i - 1] > limit
+        out.append((number, i, line["text"]))
+    return out
 
 
-def test_arrows(spark):
-    segments = [(1, 10.0, 10.0, 4.0, 6.0), (2, 10.0, 10.0, 4.0, 14.0), (3, 0.0, 0.0, 15.0, 0.0), (4, 50.0, 50.0, 52.0, 51.0)]
-    frame = spark.createDataFrame([("d", 0, *s) for s in segments], "doc_id string, page_num int, segment_id int, x0 double, y0 double, x1 double, y1 double")
-    assert [(r.a, r.b) for r in layout.arrowheads(frame).collect()] == [(1, 2)]
-    heads = spark.createDataFrame([("d", 0, 1, 0.0, 0.0), ("d", 0, 2, 100.0, 1.0), ("d", 0, 3, 30.0, 0.0), ("d", 0, 4, 5.0, 500.0)], "doc_id string, page_num int, head_id long, x double, y double")
-    assert {(r.tail, r["head"]) for r in layout.pair_arrows(heads).collect()} == {(1, 3)}
+def test_paragraph_islands(spark):
+    rng = random.Random(5)
+    pages = {0: [(1, 0.0, 10.0, "a"), (2, 1.0, 11.0, "a2"), (3, 12.0, 22.0, "b"), (4, 24.0, 34.0, "c"), (5, 60.0, 70.0, "d")], 1: [(1, 5.0, 4.0, "x")]}
+    for page in range(2, 12):
+        top, words = 0.0, []
+        for k in range(rng.randint(1, 25)):
+            top += rng.choice([0, 0, 2, 2.9, 3, 3.1, 12, 12, 30, -40])
+            words.append((k, top, top + rng.choice([8.0, 10.0]), f"w{k}"))
+        pages[page] = words
+    rows = [("d", p, *w) for p, words in pages.items() for w in words]
+    rng.shuffle(rows)
+    got = layout.paragraphs(spark.createDataFrame(rows, "doc_id string, page_num int, word_no int, top double, bottom double, text string")).collect()
+    assert {(r.page_num, r.paragraph, r.line, r.text) for r in got} == {(p, *x) for p, words in pages.items() for x in walked_paragraphs(words)}
+    assert {(r.paragraph, r.text) for r in got if r.page_num == 0} == {(0, "a a2"), (0, "b"), (0, "c"), (1, "d")}
+
+
+def test_font_classes(spark):
+    cases = [
+        ("Title", 12.0, 100.0, "heading"), ("- item", 10.0, 100.0, "list"), ("* item", 10.0, 100.0, "list"), ("1. item", 10.0, 100.0, "paragraph"), ("(a) item", 10.0, 100.0, "paragraph"), ("• item", 12.0, 100.0, "heading"),
+        ("small", 9.2, 600.0, "footnote"), ("small", 9.2, 500.0, "paragraph"), ("- small", 9.2, 600.0, "list"), ("Title", 12.0, 600.0, "heading"), ("Head", 12.0, 39.0, "header"), ("Head", 10.0, 40.0, "paragraph"), ("Foot", 9.0, 760.0, "footer"),
+        ("two\nlines", 10.0, 10.0, "paragraph"), ("x" * 130, 10.0, 10.0, "paragraph"), ("x" * 250, 12.0, 100.0, "paragraph"), ("  ", 12.0, 10.0, "other"), (None, 12.0, 10.0, "other"), ("text", None, 600.0, "paragraph"),
+    ]
+    frame = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, text string, size double, y0 double, wanted string")
+    got = frame.select("i", "wanted", layout.font_class(F.col("size"), F.lit(10.0), F.col("text"), F.col("y0")).alias("got")).collect()
+    assert [(r.i, r.got) for r in got if r.got != r.wanted] == []
+    spans = spark.createDataFrame([("d", 0, 10.0, "aaaa"), ("d", 0, 12.0, " bb "), ("d", 0, 0.0, "c" * 50), ("d", 0, 30.0, "   ")], "doc_id string, page_num int, size double, text string")
+    assert layout.body_font_size(spans).first().body_size == 10.0
+    images = spark.createDataFrame([(1, (0.0, 0.0, 40.0, 40.0)), (2, (0.0, 0.0, 100.0, 100.0)), (3, None)], f"i int, bbox {BOX}")
+    assert [r.i for r in layout.figures(images).collect()] == [2]
+
+
+def test_boxes_and_columns(spark):
+    frame = spark.createDataFrame([((10.0, 700.0, 20.0, 780.0),)], f"b {BOX}")
+    assert tuple(frame.select(layout.flipped(F.col("b"), F.lit(792.0)).alias("f")).first().f) == (10.0, 12.0, 20.0, 92.0)
+    cells = spark.createDataFrame([("d", 0, 1, 10.0), ("d", 0, 1, 10.04), ("d", 0, 1, 50.0), ("d", 0, 2, 5.0), ("d", 1, 3, None)], "doc_id string, page_num int, table_no int, x0 double")
+    assert [tuple(r) for r in layout.table_columns(cells, "table_no").collect()] == [("d", 0, 2)]
+
+
+def met_heads(segments):
+    """Arrowheads by the rule as a loop over buckets, written from its description."""
+    from math import acos, degrees, hypot
+
+    short = [s for s in segments if 3 <= hypot(s[3] - s[1], s[4] - s[2]) <= 20 and abs(s[3] - s[1]) >= 0.5 and abs(s[4] - s[2]) >= 0.5]
+    buckets = {}
+    for no, x0, y0, x1, y1 in short:
+        for tip, other in (((x0, y0), (x1, y1)), ((x1, y1), (x0, y0))):
+            buckets.setdefault((int(tip[0]), int(tip[1])), []).append((no, tip, other))
+    heads, seen = [], set()
+    for group in buckets.values():
+        for i, (a, ta, oa) in enumerate(group):
+            for b, tb, ob in group[i + 1 :]:
+                if a == b or (min(a, b), max(a, b)) in seen or hypot(ta[0] - tb[0], ta[1] - tb[1]) > 1:
+                    continue
+                u, v = [((o[0] - t[0]) / hypot(o[0] - t[0], o[1] - t[1]), (o[1] - t[1]) / hypot(o[0] - t[0], o[1] - t[1])) for t, o in ((ta, oa), (tb, ob))]
+                if not 20 <= degrees(acos(max(-1, min(1, u[0] * v[0] + u[1] * v[1])))) <= 170:
+                    continue
+                d = -(u[0] + v[0]) / 2, -(u[1] + v[1]) / 2
+                n = hypot(*d)
+                heads.append(((ta[0] + tb[0]) / 2, (ta[1] + tb[1]) / 2, d[0] / n, d[1] / n))
+                seen.add((min(a, b), max(a, b)))
+    return heads
+
+
+def paired(heads):
+    """Arrows by the rule as a greedy loop."""
+    used, out = set(), []
+    for i, a in enumerate(heads):
+        flat, best = abs(a[2]) >= abs(a[3]), None
+        for j in range(i + 1, len(heads)):
+            b = heads[j]
+            if i in used or j in used or (abs(b[2]) >= abs(b[3])) != flat:
+                continue
+            k = 0 if flat else 1
+            span = abs(a[k] - b[k])
+            if abs(a[1 - k] - b[1 - k]) <= 3 and (a[2 + k] > 0) != (b[2 + k] > 0) and span >= 10 and (best is None or span < best[0]):
+                best = span, j
+        if best:
+            used |= {i, best[1]}
+            out.append((*a[:2], *heads[best[1]][:2], "horizontal" if flat else "vertical", True))
+    out += [(a[0] - 20 * a[2], a[1] - 20 * a[3], a[0], a[1], "horizontal" if abs(a[2]) >= abs(a[3]) else "vertical", False) for i, a in enumerate(heads) if i not in used]
+    return out
+
+
+def test_arrows_equal_the_loops(spark):
+    rng = random.Random(8)
+    pages = {}
+    for page in range(12):
+        segments = []
+        for _ in range(rng.randint(1, 9)):
+            x, y, turn = rng.choice([50, 50, 120, 300]) + rng.random(), rng.choice([100, 101.5, 400]) + rng.random(), rng.choice([1, -1])
+            legs = [(x - turn * 6, y - 4), (x - turn * 6, y + 4)] if rng.random() < 0.6 else [(x - 4, y - turn * 6), (x + 4, y - turn * 6)]
+            for leg in legs + [(x + rng.uniform(-25, 25), y + rng.uniform(-1, 8))]:
+                ends = [(x + rng.choice([0, 0, 0.4]), y), leg]
+                rng.shuffle(ends)
+                segments.append((len(segments) + 1, *ends[0], *ends[1]))
+        pages[page] = segments
+    rows = [("d", p, *s) for p, segments in pages.items() for s in segments]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id string, page_num int, segment_id int, x0 double, y0 double, x1 double, y1 double")
+    heads = layout.arrowheads(frame)
+    shown = lambda values: [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in values]
+    got = {p: [] for p in pages}
+    for r in heads.orderBy("page_num", "head_no").collect():
+        got[r.page_num].append((r.x, r.y, r.dx, r.dy))
+    wanted = {p: met_heads(s) for p, s in pages.items()}
+    assert {p: shown(v) for p, v in got.items()} == {p: shown(v) for p, v in wanted.items()}
+    arrows = {p: [] for p in pages}
+    for r in layout.pair_arrows(heads).orderBy("page_num", "arrow_no").collect():
+        arrows[r.page_num].append((r.x0, r.y0, r.x1, r.y1, r.axis, r.two_headed))
+    assert {p: shown(v) for p, v in arrows.items()} == {p: shown(paired(v)) for p, v in wanted.items()}
+    assert any(a[5] for v in arrows.values() for a in v) and any(not a[5] for v in arrows.values() for a in v)
 
 
 def test_redactions(spark):
@@ -242,3 +360,99 @@ def test_streaming(spark, tmp_path):
     fresh = incremental.unprocessed(spark.read.parquet(source), done, ["k", "v"], "s")
     seen = fresh.limit(1).select(F.lit("s").alias("stage"), "input_hash")
     assert fresh.count() == 2 and incremental.unprocessed(spark.read.parquet(source), seen, ["k", "v"], "s").count() == 1
+
+
+def test_presence_reaches_over_blocks_and_segments(spark):
+    rng = random.Random(6)
+    rows, needles, bodies = [], [], {}
+    for d in range(6):
+        words, at = [], 0
+        for page in range(0, 200, rng.choice([7, 30])):
+            some = [f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 5))]
+            rows.append((f"d{d}", " ".join(some) if rng.random() < 0.9 else f"  {' '.join(some).upper()}\n", page, 0, len(rows)))
+            words += some
+        bodies[f"d{d}"] = words
+        for _ in range(25):
+            at, n = rng.randrange(max(1, len(words) - 9)), rng.randint(1, 9)
+            some = words[at : at + n]
+            if rng.random() < 0.5:
+                some = [w if rng.random() < 0.7 else "zz" for w in some]
+            needles.append((f"d{d}", len(needles), " ".join(some)))
+    needles += [("d0", 900, "w"), ("d0", 901, "zzz"), ("none", 902, "a b c d"), ("none", 903, "a")]
+    got = {r.needle_id: (round(r.share, 6), r.present) for r in matching.fuzzy_presence(
+        spark.createDataFrame(needles, "key string, needle_id int, text string"), spark.createDataFrame(rows, "key string, text string, page_num int, order_index int, block_id long")).collect()}
+    wanted = {}
+    for key, i, text in needles:
+        words, own = bodies.get(key, []), text.split()
+        if len(own) < 4:
+            share = 1.0 if own and " ".join(own) in " ".join(words) else 0.0
+        else:
+            grams = {tuple(own[k : k + 4]) for k in range(len(own) - 3)}
+            share = len(grams & {tuple(words[k : k + 4]) for k in range(len(words) - 3)}) / len(grams)
+        wanted[i] = (round(share, 6), share >= 0.6)
+    assert got == wanted
+
+
+def test_gram_counts_equal_sets(spark):
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randint(0, 3)}" for _ in range(n)) for n in (0, 1, 3, 4, 5, 40, 400)]
+    for text in texts:
+        words = text.split()
+        assert matching.distinct_grams(words) == (len({tuple(words[k : k + 4]) for k in range(len(words) - 3)}) if len(words) > 3 else bool(words))
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id long, text string")
+    assert {r.id for r in matching.gram_counts(frame, "id").collect()} == {1, 2, 3, 4, 5, 6}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = random.Random(2)
+    base = [[f"w{rng.randint(0, 200)}" for _ in range(rng.randint(1, 60))] for _ in range(15)]
+    rows = []
+    for words in base:
+        for _ in range(6):
+            changed = [*words]
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                changed[rng.randrange(len(changed))] = f"x{rng.randint(0, 3)}"
+            rows.append((len(rows), " ".join(changed)))
+    rows += [(900, None), (901, ""), (902, "W1, w2"), (903, "w1 w2")]
+    sets = {i: frozenset(tuple(t.lower().replace(",", "").split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))) for i, t in rows if t}
+    classes = {}
+    for i, s in sets.items():
+        classes.setdefault(s, i)
+    links = {a: sum(x != y and len(x & y) / len(x | y) >= 0.8 for y in classes) for x, a in classes.items()}
+    got = {r.id: (r.class_id, r.n_links) for r in matching.near_duplicates(spark.createDataFrame(rows, "id long, text string"), "id").collect()}
+    assert got == {i: (classes[s], links[classes[s]]) for i, s in sets.items()} and max(links.values()) > 0
+    assert matching.near_duplicates(spark.createDataFrame([], "id long, text string"), "id").count() == 0
+
+
+def test_term_uses(spark):
+    text = "The Adverse Event, adverse events and ADVERSE EVENT; preadverse event; (adverse event)"
+    blocks = spark.createDataFrame([(1, "d", 0, 0, text), (2, "d", 0, 1, None), (3, "e", 0, 0, "adverse event")], "block_id long, doc_id string, page_num int, order_index int, text string")
+    terms = spark.createDataFrame([("d", "adverse event", 1), ("d", "the", 1), ("d", "(adverse", 1), ("d", "", 1), ("d", None, 1)], "doc_id string, term string, source_id long")
+    got = {(r.term, r.start_pos, r.surface) for r in indexes.defined_term_uses(blocks, terms).collect()}
+    assert got == {("adverse event", 4, "Adverse Event"), ("adverse event", text.index("ADVERSE"), "ADVERSE EVENT"), ("adverse event", text.index("(") + 1, "adverse event")}
+    found = indexes.glossary_sources(spark.createDataFrame([("d", "verse ev"), ("d", "nothing"), ("e", "Event")], "doc_id string, term string"), blocks)
+    assert {tuple(r) for r in found.collect()} == {("d", "verse ev", 1), ("d", "nothing", None), ("e", "Event", 3)}
+
+
+def test_values_without_inner_words_are_mentioned(spark):
+    from leafwork.operators import annotate
+
+    values = spark.createDataFrame([("k", "ASTHMA"), ("k", "severe asthma attack"), ("k", "thm"), ("k", "≥"), ("k", " "), ("k", None), ("k", "none"), ("j", "asthma")], "key string, value string")
+    texts = spark.createDataFrame([("k", 1, "A severe Asthma attack ≥ 3"), ("k", 2, None)], "key string, block_id long, text string")
+    assert {tuple(r) for r in annotate.mentioned(values, texts).collect()} == {("k", "ASTHMA", True), ("k", "severe asthma attack", True), ("k", "thm", True), ("k", "≥", True), ("k", "none", False), ("j", "asthma", False)}
+
+
+def test_rule_first_with_a_fallback(spark):
+    from leafwork.operators import records
+
+    rows = spark.createDataFrame([(1, "a", 0.95), (2, "b", 0.6), (3, None, None)], "i int, r string, c double")
+    plain = records.rule_first(rows, F.col("r"), F.col("c"))
+    assert {(r.i, r.role, r.confidence, r.by_rule) for r in plain.collect()} == {(1, "a", 0.95, True), (2, "unknown", 0.0, False), (3, "unknown", 0.0, False)}
+    asked = records.rule_first(rows, F.col("r"), F.col("c"), lambda rest: rest.withColumns({"role": F.lit("model"), "confidence": F.lit(0.7)}))
+    assert {(r.i, r.role, r.by_rule) for r in asked.collect()} == {(1, "a", True), (2, "model", False), (3, "model", False)}
+    answers = spark.createDataFrame([("d", 1, "x")], "doc_id string, page_num int, answer string")
+    routes = spark.createDataFrame([("d", p, "q") for p in (1, 2, 70)], "doc_id string, page_num int, primary_route string")
+    assert {(r.page_num, r.answer) for r in records.prefetched(routes, answers).collect()} == {(1, "x"), (2, None), (70, None)}
+    assert {(r.batch, tuple(r.pages)) for r in records.prefetch_plan(routes).collect()} == {(0, (1, 2)), (1, (70,))}
+    assert records.head_sample(spark.range(50).withColumnRenamed("id", "page_num")).count() == 30
+    assert records.run_summary(spark.createDataFrame([], "outcome string, n_pages int, seconds double")).first().documents == 0

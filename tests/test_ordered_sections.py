@@ -103,3 +103,42 @@ def test_parents(spark):
     links = chunks.parent_links(frame)
     assert {(r.order_index, r.parent_index) for r in links.collect()} == {(1, 0), (4, 0)}
     assert [list(r.children) for r in chunks.child_lists(links).collect()] == [[1, 4]]
+
+
+def legacy_model(rows):
+    """The older rule as a state machine, written from its description."""
+    import re
+
+    out, stack = {}, []
+    for block_id, _, _, _, kind, text in sorted(rows, key=lambda r: (r[2], r[3])):
+        if kind != "heading":
+            continue
+        text = text or ""
+        m = re.match(r"(\d+(?:\.\d+)*)\s+", text)
+        if m:
+            depth = m[1].count(".") + 1
+            while stack and stack[-1][0] >= depth:
+                stack.pop()
+            stack.append((depth, text))
+        else:
+            if stack:
+                stack.pop()
+            stack.append((1, text))
+        out[block_id] = [t for _, t in stack]
+    return out
+
+
+def test_legacy_paths_equal_the_stack(spark):
+    rows = [r for d in range(6) for r in random_document(20 + d, d)]
+    expected = {k: v for d in range(6) for k, v in legacy_model([r for r in rows if r[1] == f"d{d}"]).items()}
+    random.Random(1).shuffle(rows)
+    got = {r.block_id: list(r.section_path) for r in sections.legacy_paths(make(spark, rows)).collect()}
+    assert got == expected
+    assert sections.legacy_paths(make(spark, rows).where("false")).count() == 0
+
+
+def test_levels_have_no_bound(spark):
+    deep = ".".join("1" * 14)
+    rows = [(i, "d", i, 0, "heading", f"{'.'.join('1' * (i + 1))} H{i}") for i in range(14)] + [(20, "d", 20, 0, "paragraph", "x"), (21, "d", 21, 0, "heading", "Unnumbered"), (22, "d", 22, 0, "heading", "1.1 Back")]
+    got = {r.block_id: (len(r.section_path), r.section_depth, r.section_number) for r in sections.section_paths(make(spark, rows)).collect()}
+    assert got[20] == (14, 14, deep) and got[21] == (15, 15, deep) and got[22] == (2, 2, "1.1")
