@@ -109,23 +109,21 @@ def defined_term_uses(blocks: DataFrame, glossary: DataFrame, least: int = 4) ->
     """block_id, term, surface, start_pos, end_pos, source_id: whole-word uses of the document's terms, case aside.
 
     `glossary` has doc_id, term, source_id; terms under `least` characters and without words are not looked for. A term
-    and a text meet in an equi join on (document, first word of the term), with the words' offsets; the rest of the term is
-    then compared at its offset. Texts of one document are never tried against all of its terms.
+    and a text meet in an equi join on (document, first word of the term); only then the text is cut at the term for the
+    offsets. Texts of one document are never tried against all of its terms.
     """
     word = r"[\p{L}\p{N}_]+"
-    first = F.regexp_extract(F.lower("term"), f"({word})", 1)
-    terms = glossary.where(F.length("term") >= least).select("doc_id", "term", "source_id", first.alias("word"), (F.instr(F.lower(F.col("term")), first) - 1).alias("lead")).where("word <> ''")
+    terms = glossary.where(F.length("term") >= least).select("doc_id", "term", "source_id", F.regexp_extract(F.lower("term"), f"({word})", 1).alias("word")).where("word <> ''")
     near = blocks.where("text is not null").join(terms.select("doc_id").distinct(), "doc_id", "left_semi")
-    words = near.select("doc_id", "block_id", F.explode(_marked(F.col("text"), word)).alias("m")).select("doc_id", "block_id", F.lower("m.piece").alias("word"), "m.start_pos")
-    met = words.join(terms, ["doc_id", "word"]).select("block_id", "term", "source_id", (F.col("start_pos") - F.col("lead")).alias("start_pos")).where("start_pos >= 0")
-    texts = met.join(near.select("block_id", "text"), "block_id")
+    words = near.select("doc_id", "block_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(word), F.lit(0)))).alias("word"))
+    met = words.join(terms, ["doc_id", "word"]).select("block_id", "term", "source_id").distinct().join(near.select("block_id", "text"), "block_id")
     size = F.length("term")
-    surface = F.substring(F.col("text"), F.col("start_pos") + 1, size)
+    pieces = _placed(F.split(F.replace(F.lower("text"), F.lower("term"), F.lit("\x1e")), "\x1e"))
+    hits = met.select("block_id", "term", "source_id", "text", F.posexplode(pieces).alias("k", "m")).where("k > 0").withColumn("start_pos", F.col("m.start_pos") + (F.col("k") - 1) * size)
     edge = lambda c: c.rlike(r"^[\p{L}\p{N}_]")
     at = lambda k: F.when(k < 1, "").otherwise(F.substring(F.col("text"), k, F.lit(1)))
     borders = (edge(at(F.col("start_pos"))) != edge(F.substring("term", 1, 1))) & (edge(at(F.col("start_pos") + size + 1)) != edge(F.substring(F.col("term"), -1, 1)))
-    hits = texts.where((F.lower(surface) == F.lower("term")) & borders)
-    return hits.select("block_id", "term", surface.alias("surface"), "start_pos", (F.col("start_pos") + size).alias("end_pos"), "source_id").distinct()
+    return hits.where(borders).select("block_id", "term", F.substring(F.col("text"), F.col("start_pos") + 1, size).alias("surface"), "start_pos", (F.col("start_pos") + size).alias("end_pos"), "source_id").distinct()
 
 
 def glossary_sources(terms: DataFrame, blocks: DataFrame) -> DataFrame:

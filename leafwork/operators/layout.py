@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,6 +125,39 @@ def figures(images: DataFrame, width: float = 612.0, height: float = 792.0, leas
     return images.where(box_area(F.col("bbox")) >= least * width * height)
 
 
+def _by_page(rows: DataFrame, columns: list[str], work: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
+    """doc_id, page_num and what `work` makes of the rows of each page (`columns`, sorted by the first of them).
+
+    Pages are walked one after another in sorted partitions, so that a small page costs no call of its own.
+    """
+    fields = [f.split() for f in f"doc_id string, page_num int, {schema}".split(", ")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, held = None, []
+
+        def close() -> list[tuple]:
+            return [(*page, *r) for r in work(held)] if held else []
+
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:2] != page:
+                    out += close()
+                    page, held = row[:2], []
+                held.append(row[2:])
+            yield _batch(out, fields, kinds)
+        yield _batch(close(), fields, kinds)
+
+    sorted_ = rows.select("doc_id", F.col("page_num").cast("int"), *columns).repartition("doc_id", "page_num").sortWithinPartitions("doc_id", "page_num", columns[0])
+    return sorted_.mapInArrow(run, f"doc_id string, page_num int, {schema}")
+
+
+def _batch(rows: list[tuple], fields: list[list[str]], kinds: dict) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
+
+
 def paragraphs(words: DataFrame) -> DataFrame:
     """doc_id, page_num, paragraph, line, text: words (word_no, top, bottom, text) to lines to paragraphs.
 
@@ -132,11 +166,10 @@ def paragraphs(words: DataFrame) -> DataFrame:
     the positive ones, 4 if there are none. Which word begins a line depends on the line before, so a page is walked in
     Python; a page bounds the group.
     """
-    schema = "doc_id string, page_num int, paragraph int, line int, text string"
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
+    def walk(page: list[tuple]) -> list[tuple]:
         lines: list[list] = []
-        for top, bottom, text in page.sort_values("word_no", kind="stable")[["top", "bottom", "text"]].itertuples(index=False, name=None):
+        for _, top, bottom, text in page:
             if not lines or abs(top - lines[-1][0]) > 3:
                 lines.append([top, bottom, [text]])
             else:
@@ -148,10 +181,10 @@ def paragraphs(words: DataFrame) -> DataFrame:
         number, out = 0, []
         for i, (_, _, texts) in enumerate(lines):
             number += i > 0 and gaps[i - 1] > least
-            out.append((page["doc_id"].iloc[0], page["page_num"].iloc[0], number, i, " ".join(texts)))
-        return pd.DataFrame(out, columns=[n.split()[0] for n in schema.split(", ")])
+            out.append((number, i, " ".join(texts)))
+        return out
 
-    return words.groupBy("doc_id", "page_num").applyInPandas(run, schema)
+    return _by_page(words, ["word_no", "top", "bottom", "text"], walk, "paragraph int, line int, text string")
 
 
 def indent_levels(blocks: DataFrame, tolerance: float = 5.0) -> DataFrame:
@@ -245,34 +278,32 @@ def pair_arrows(heads: DataFrame, axis: float = 3.0, least: float = 10.0, shaft:
     least `least` away, and points the opposite way. What stays single is an arrow of one head with a shaft of `shaft`
     points. Pairing depends on what was used before, so it runs page by page in Python; a page bounds the group.
     """
-    schema = "doc_id string, page_num int, arrow_no int, x0 double, y0 double, x1 double, y1 double, axis string, two_headed boolean"
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        rows = page.sort_values("head_no", kind="stable")[["x", "y", "dx", "dy"]].to_numpy(float)
-        flat = [abs(dx) >= abs(dy) for _, _, dx, dy in rows]
+    def pair(rows: list[tuple]) -> list[tuple]:
+        heads = [r[1:] for r in rows]
+        flat = [abs(dx) >= abs(dy) for _, _, dx, dy in heads]
         used: set[int] = set()
         out: list[tuple] = []
-        for i, one in enumerate(rows):
+        for i, one in enumerate(heads):
             if i in used:
                 continue
             along, across = (0, 1) if flat[i] else (1, 0)
             spans = []
-            for j in range(i + 1, len(rows)):
-                other = rows[j]
+            for j in range(i + 1, len(heads)):
+                other = heads[j]
                 span = abs(one[along] - other[along])
                 if j not in used and flat[j] == flat[i] and abs(one[across] - other[across]) <= axis and (one[2 + along] > 0) != (other[2 + along] > 0) and span >= least:
                     spans.append((span, j))
             if spans:
                 _, j = min(spans)
                 used |= {i, j}
-                out.append((*one[:2], *rows[j][:2], "horizontal" if flat[i] else "vertical", True))
-        for i, (x, y, dx, dy) in enumerate(rows):
+                out.append((*one[:2], *heads[j][:2], "horizontal" if flat[i] else "vertical", True))
+        for i, (x, y, dx, dy) in enumerate(heads):
             if i not in used:
                 out.append((x - dx * shaft, y - dy * shaft, x, y, "horizontal" if flat[i] else "vertical", False))
-        where = page["doc_id"].iloc[0], page["page_num"].iloc[0]
-        return pd.DataFrame([(*where, k, *r) for k, r in enumerate(out)], columns=[n.split()[0] for n in schema.split(", ")])
+        return [(k, *r) for k, r in enumerate(out)]
 
-    return heads.groupBy("doc_id", "page_num").applyInPandas(run, schema)
+    return _by_page(heads, ["head_no", "x", "y", "dx", "dy"], pair, "arrow_no int, x0 double, y0 double, x1 double, y1 double, axis string, two_headed boolean")
 
 
 def table_columns(cells: DataFrame, *key: str) -> DataFrame:

@@ -195,12 +195,6 @@ def near_duplicates(spark: SparkSession, root: str) -> DataFrame:
     return matching.near_duplicates(table(spark, root, "extracted_criteria"), "criterion_id")
 
 
-# Blocks recur so often that the join of all pairs is too slow in SQL; tests hold the operator against brute force.
-@registry.add("near_duplicate_blocks")
-def near_duplicate_blocks(spark: SparkSession, root: str) -> DataFrame:
-    return matching.near_duplicates(table(spark, root, "extracted_blocks"), "block_id")
-
-
 @registry.add(
     "criterion_items",
     """WITH i AS (SELECT doc_id, category, identifier, arg_max(text, gold_id) AS item FROM gold_eligibility GROUP BY ALL),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Callable
 
@@ -15,6 +17,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -31,8 +34,8 @@ def session(app: str = "leafwork", master: str | None = None, **conf: str) -> Sp
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    A cluster names it in spark.checkpoint.dir. Only a local session without one gets a folder of its own: on a
-    cluster a machine-local folder would be lost with its machine.
+    A cluster names it in spark.checkpoint.dir. Only a local session without one gets a folder of its own, which is removed
+    when the process ends: on a cluster a machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir")
@@ -43,6 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         shared = tempfile.mkdtemp(prefix="leafwork-checkpoint-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     context.setCheckpointDir(shared)
     return shared
 
