@@ -30,16 +30,28 @@ _EDGE = regex.compile(rf"(?<=[{_BREAKERS}])|(?=[{_BREAKERS}])")
 PIECE_SCHEMA = "piece_no int, n_pieces int, start_pos int, end_pos int, boundary int, piece string"
 
 
-def boundaries(text: str) -> tuple[list[int], dict[int, int], list[int]]:
-    """Positions at which the text may be cut, ascending, the strength of each, and the positions on either side of every
-    blank and sign, which serve where no boundary is in reach."""
+class _Edges:
+    """The positions on either side of every blank and sign of a text, which serve where no boundary is in reach; they are
+    looked for when first asked for."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.found = text, None
+
+    def list(self) -> list[int]:
+        if self.found is None:
+            self.found = [m.start() for m in _EDGE.finditer(self.text) if 0 < m.start() < len(self.text)]
+        return self.found
+
+
+def boundaries(text: str) -> tuple[list[int], dict[int, int], _Edges]:
+    """Positions at which the text may be cut, ascending, the strength of each, and the edges besides."""
     strength: dict[int, int] = {}
     for level, pattern in BOUNDARIES:
         for match in pattern.finditer(text):
             strength.setdefault(match.end(), level)
     strength.pop(0, None)
     strength.pop(len(text), None)
-    return sorted(strength), strength, [m.start() for m in _EDGE.finditer(text) if 0 < m.start() < len(text)]
+    return sorted(strength), strength, _Edges(text)
 
 
 def cut_kind(text: str, spans: list[tuple[int, int, int]], limit: int) -> str:
@@ -68,30 +80,35 @@ def _snap(marks: list[int], strength: dict[int, int], low: int, high: int, targe
     return max(window, key=lambda p: (strength[p], -abs(p - target)), default=None)
 
 
-def _next_start(text: str, end: int, limit: int, overlap: int, start: int, marks: list[int], strength: dict[int, int], edges: list[int]) -> int:
+def _next_start(text: str, end: int, limit: int, overlap: int, start: int, marks: list[int], strength: dict[int, int], edges: _Edges) -> int:
     """Where the piece after one from `start` to `end` begins: about `overlap` before the end, at a boundary if one is
     near, and later where the next boundary could not be reached otherwise. Always after `start`, never after `end`."""
     if not overlap:
         return end
     back = _snap(marks, strength, max(start, end - overlap - overlap // 2), end - overlap // 2, end - overlap)
     begin = back if back is not None else _solid(text, end - overlap, start)
-    k = bisect_right(edges, end)
-    reach = (edges[k] if k < len(edges) else len(text)) - limit
+    for places in (lambda: marks, edges.list):
+        found = places()
+        k = bisect_right(found, end)
+        reach = (found[k] if k < len(found) else len(text)) - limit
+        if reach <= begin:
+            break
     return reach if begin < reach <= end else max(begin, start + 1)
 
 
-def _end(text: str, reach: int, high: int, target: float, marks: list[int], strength: dict[int, int], edges: list[int]) -> tuple[int, int]:
+def _end(text: str, reach: int, high: int, target: float, marks: list[int], strength: dict[int, int], edges: _Edges) -> tuple[int, int]:
     """The cut in (reach, high] and its strength: the strongest boundary, else the last edge, else a hard cut at the target."""
     end = _snap(marks, strength, reach, high, target)
     if end is not None:
         return end, strength[end]
-    k = bisect_right(edges, high) - 1
-    if k >= 0 and edges[k] > reach:
-        return edges[k], 1
+    found = edges.list()
+    k = bisect_right(found, high) - 1
+    if k >= 0 and found[k] > reach:
+        return found[k], 1
     return _solid(text, max(reach + 1, min(int(target), high)), reach), 0
 
 
-def _attempt(text: str, n: int, limit: int, overlap: int, marks: list[int], strength: dict[int, int], edges: list[int]) -> list[tuple[int, int, int]] | None:
+def _attempt(text: str, n: int, limit: int, overlap: int, marks: list[int], strength: dict[int, int], edges: _Edges) -> list[tuple[int, int, int]] | None:
     """The pieces for n balanced targets as (start, end, strength of the cut at the end), or None if a limit fails."""
     size = len(text)
     step = (size - overlap) / n
