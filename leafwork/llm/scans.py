@@ -661,7 +661,8 @@ def _numbered(repaired: DataFrame) -> DataFrame:
     """doc_id, seg, block_id, joint, paragraph, spread: the paragraph of each block, how it goes on from the block before
     (null: it begins the paragraph), and whether the paragraph lies in several segments. SQL windows, without the texts."""
     unfinished = ~F.col("text").rlike(r"[.!?:;。！？][\"'”’)\]]*$")
-    slim = segmented(repaired.select("doc_id", "page_num", "order_index", "block_id", "block_type", "joins", unfinished.alias("unfinished"), F.col("text").rlike(r"^\p{Ll}").alias("low")), pages=SEGMENT_PAGES)
+    flags = repaired.select("doc_id", "page_num", "order_index", "block_id", "block_type", "joins", unfinished.alias("unfinished"), F.col("text").rlike(r"^\p{Ll}").alias("low"))
+    slim = cut(segmented(flags, pages=SEGMENT_PAGES))
     prose = F.coalesce(F.col("block_type").isin("paragraph", "other", "footnote"), F.lit(False))
     before = neighbour(slim, {"__open": prose & (F.col("unfinished") | F.col("joins").isNotNull()), "__joins": F.col("joins"), "__seg": F.col("seg")}, -1)
     goes_on = F.coalesce(prose & F.col("__open") & (F.col("low") | F.col("__joins").isNotNull()), F.lit(False))
