@@ -94,3 +94,8 @@ def once(spark: SparkSession, name: str, path: str, build: Callable[[], DataFram
     if held is None or held[0] != key:
         held = _HELD[name] = (key, cut(build()))
     return held[1]
+
+
+def forget() -> None:
+    """Lets go of what `once` holds, so that the next call builds it anew."""
+    _HELD.clear()
