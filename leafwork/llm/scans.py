@@ -45,9 +45,11 @@ _DIGITS = str.maketrans({"o": "0", "l": "1", "i": "1", "!": "1", "|": "1", "s":
 _PAGE_SKELETONS = {w.translate(_SKELETON) for w in PAGE_WORDS}
 _OF_SKELETONS = {w.translate(_SKELETON) for w in OF_WORDS}
 _LINE_TOKEN = re.compile(r"[^\W_]+(?:[!@$|][^\W_]+)*[!@$|]?|[!@$|][^\W_]+|[第页頁共]")
-_ROMAN = re.compile(r"m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
+_ROMAN = re.compile(r"m*(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})")
 _ROMAN_VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 _NUMBER = re.compile(r"\d[\d.,/:%-]*")
+#: Digits, after any zeros, of the largest number that surely fits a bigint; pages are counted in an int, so none has more.
+_LONGEST = 18
 
 #: Size of a Bloom filter at most (128 MB); below, it has 16 bits for each member.
 MOST_BITS = 1 << 30
@@ -186,12 +188,20 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
 
+def _whole(digits: str) -> int | None:
+    """The number that the digits write, if it may be the number of a page."""
+    if not digits.isdecimal():
+        return None
+    bare = digits.lstrip("0")
+    return int(bare or "0") if len(bare) <= _LONGEST else None
+
+
 @lru_cache(1 << 17)
 def _line_part(token: str) -> tuple[str, int | None]:
-    """A token of a line as it enters the keys, and its number, if it is a short one."""
+    """A token of a line as it enters the keys, and its number, if it may be one of a page."""
     bare = token.strip(_EDGES)
     if bare and any(c.isdigit() for c in bare) and _NUMBER.fullmatch(digits := bare.translate(_DIGITS)):
-        return token.replace(bare, digits), int(digits) if digits.isdigit() and len(digits) < 7 else None
+        return token.replace(bare, digits), _whole(digits)
     return token.translate(_SKELETON), None
 
 
@@ -217,8 +227,8 @@ def line_hashes(line: str, page: int | None) -> list[int]:
 def _page_token(token: str) -> tuple[str, int]:
     """What a token is on a page-number line, and its number: 'number', 'page', 'of', 'roman', 'glyph' (read as a digit) or 'other'."""
     digits, skel = token.translate(_DIGITS), token.translate(_SKELETON)
-    if any(c.isdigit() for c in token) and digits.isdigit() and len(digits) < 7:
-        return "number", int(digits)
+    if any(c.isdigit() for c in token) and (number := _whole(digits)) is not None:
+        return "number", number
     if skel in _PAGE_SKELETONS:
         return "page", 0
     if skel in _OF_SKELETONS:
@@ -419,7 +429,7 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
     hyphen is true for words written without one. misread is the frequent form the whole is a misreading of, else null.
     A break counts when the corpus has more unbroken occurrences of the joined word than of the compound, both taken by
     skeleton so that a misread half does not hide the word. If it has neither, the halves decide: two words known by
-    themselves are a compound.
+    themselves are a compound; where a half stands as one of a pair over two pages, it does not make itself known.
     """
     pages = signs.where("kind = 'head'").groupBy("doc_id", "page_num").agg(F.min(F.struct("order_index", "block_id", "a")).alias("head"))
     tails = (
@@ -434,7 +444,11 @@ def broken_words(signs: DataFrame, groups: DataFrame, words: DataFrame, least: i
     # Only the forms that are asked for leave the word table.
     asked = lambda one, two, name: distinct.select(F.explode(F.array(one, two)).alias(name)).distinct()
     sums = cut(bounded(asked("joined", "compound", "skel"), groups.select("skel", "total", "best", "best_n"), ["skel"]))
-    known = cut(bounded(asked("a", "b", "word"), words.where("n >= 3").select("word"), ["word"]))
+    ahead = tails.select("doc_id", (F.col("page_num") + 1).alias("page_num"), F.col("b").alias("a")).distinct()
+    halves = signs.where("kind = 'tail'").select("a").unionByName(signs.where("kind = 'head'").join(ahead, ["doc_id", "page_num", "a"], "left_semi").select("a"))
+    counted = bounded(asked("a", "b", "word"), words.where("n >= 3").select("word", "n"), ["word"])
+    broken = halves.groupBy(F.col("a").alias("word")).agg(F.count("*").alias("of"))
+    known = cut(counted.join(broken, "word", "left").where(F.col("n") - F.coalesce("of", F.lit(0)) >= 3).select("word"))
     judged = (
         distinct.join(sums.toDF("joined", "as_one", "best_one", "n_one"), "joined", "left")
         .join(sums.toDF("compound", "as_two", "best_two", "n_two"), "compound", "left")

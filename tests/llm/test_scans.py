@@ -155,3 +155,21 @@ def test_paragraphs_over_segments(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "block_id long, doc_id string, page_num int, order_index int, block_type string, text string, parser_used string")
     got = {(r.first_page, r.last_page, r.n_blocks, r.text) for r in scans.paragraphs(scans.repaired_blocks(scans.ScanNoise(frame))).collect()}
     assert got == {(63, 65, 3, "The sentence begins here and goes on there and ends here."), (66, 66, 1, "Another one.")}
+
+
+def test_pages_beyond_a_million(spark):
+    rows = [(2 * i + k, "d", 999_996 + i, k, kind, f"{text}{999_997 + i}{end}", "qwen_vl") for i in range(8) for k, (kind, text, end) in enumerate([("header", "Protocol ABC, page ", ""), ("footer", "", " | Page")])]
+    frame = spark.createDataFrame(rows, "block_id long, doc_id string, page_num int, order_index int, block_type string, text string, parser_used string")
+    found = {(r.block_id, r.noise) for r in scans.ScanNoise(frame).found().collect()}
+    assert {b for b, n in found if n == "running"} == set(range(0, 16, 2)) and {b for b, n in found if n == "page_no"} == set(range(1, 16, 2))
+    assert scans.page_number("mmmmiv") == 4004 and scans.page_number("0" * 30 + "12") == 12 and scans.page_number("9" * 5000) is None and scans.page_number("²") is None
+
+
+def test_halves_of_one_break_in_many_documents(spark):
+    # Each half is there five times, but only broken: they are no words. The halves of the compound are words elsewhere.
+    rows = []
+    for d in range(5):
+        rows += [(10 * d, f"d{d}", 0, 0, "paragraph", "The results confirmed the neral-", "qwen_vl"), (10 * d + 1, f"d{d}", 1, 0, "paragraph", "isib as the better one.", "qwen_vl")]
+        rows += [(10 * d + 2, f"e{d}", 0, 0, "paragraph", "These were former light-", "qwen_vl"), (10 * d + 3, f"e{d}", 1, 0, "paragraph", "smokers as the others.", "qwen_vl"), (10 * d + 4, f"e{d}", 3, 0, "paragraph", "The light of the smokers.", "qwen_vl")]
+    frame = spark.createDataFrame(rows, "block_id long, doc_id string, page_num int, order_index int, block_type string, text string, parser_used string")
+    assert {r.block_id for r in scans.ScanNoise(frame).found().where("noise = 'hyphen'").collect()} == {0, 10, 20, 30, 40}
