@@ -2,8 +2,9 @@
 
 Trie join: the words of the registered names are sharded into tries; each typed word traverses a trie under its
 Levenshtein automaton (adjacent transpositions count once) and so enumerates the registered words within a bounded
-distance. Entities that share a rare word are then checked token by token in any order: every typed word must be
-matched by a word of the entity, an abbreviation of it, an initial or a nickname.
+distance. Entities that share all longer words are then checked token by token in any order: every typed word must be
+matched by a word of the entity, an abbreviation of it, an initial or a nickname. Where all these words are common in the
+registry, the whole name must be given or no other entity have them.
 """
 
 from __future__ import annotations
@@ -164,43 +165,57 @@ class Registry:
             self._near[word] = known
         return known
 
-    def link(self, name: str) -> tuple[tuple[int, ...], int, int] | None:
-        """(cost, entity id, entities of that cost) of the best the name may mean in this shard, or None.
+    def link(self, name: str) -> tuple[tuple[int, ...], int, int, int] | None:
+        """(cost, entity id, entities of that cost, entities with these common words) of the best the name may mean in this shard, or None.
 
-        Costs compare over shards: (0,) for the spelling itself, (1,) for the initials of one entity, else (2, edits, words
-        missing, 0 if the legal forms agree).
+        Costs compare over shards: (0,) for the spelling itself, (1,) for the initials of one entity, (2, edits, words
+        missing, 0 if the legal forms agree) for names with a word that is not common, (3, the same) for names of common words
+        alone. Of those a whole name means the entity of least cost; a part of a name means one only if no other entity has
+        these words, whatever its legal form. The last number tells how many have them, for that to be summed over shards;
+        (4,) stands for such entities of another legal form.
         """
         if name in self.exact:
-            return (0, 0, 0, 0), self.exact[name], 1
+            return (0, 0, 0, 0), self.exact[name], 1, 0
         words, legal, title = tokens(name)
         if not words:
             return None
         if len(words) == 1 and len(words[0]) > 3 and name in (name.upper(), name.lower()) and (at := self.by_initials.get(words[0])) is not None:
-            return (1, 0, 0, 0), self.entities[at][0], 1
+            return (1, 0, 0, 0), self.entities[at][0], 1, 0
         nears = [self.near(w) if len(w) > 1 else {} for w in words]
-        candidates = {at for near in nears for w in near if w not in self.common for at in self.by_word.get(w, ())}
-        scored = []
-        for at in candidates:
+        scored, alike = [], 0
+        for at in self._candidates(words, nears):
             entity_id, own, form, person = self.entities[at]
+            if title and not person:
+                continue
             cost = self._person(words, nears, own) if person else self._organisation(words, nears, own, legal, form)
-            if cost is not None and not (title and not person):
-                scored.append(((2, *cost), entity_id))
+            if cost is None:
+                continue
+            rare = any(w in near for w in own if w not in self.common for near in nears)
+            alike += not rare
+            if person or not (legal and form and legal != form):
+                scored.append(((2 if rare else 3, *cost), entity_id))
         if not scored:
-            return None
+            return ((4, 0, 0, 0), 0, 0, alike) if alike else None
         best, entity_id = min(scored)
-        return best, entity_id, sum(cost == best for cost, _ in scored)
+        part = best[0] == 3 and best[2] > 0
+        return best, entity_id, alike if part else sum(cost == best for cost, _ in scored), alike
+
+    def _candidates(self, words: list[str], nears: list[dict[str, int]]) -> Iterator[int]:
+        """The entities with a word near each typed word of more than two letters (shorter ones may be initials); of names
+        of shorter words, those with a word near one of them. No other entity can be meant."""
+        long = [near for word, near in zip(words, nears) if len(word) > 2]
+        if not long:
+            yield from {at for near in nears for w in near for at in self.by_word.get(w, ())}
+            return
+        rarest = min(long, key=lambda near: sum(len(self.by_word.get(w, ())) for w in near))
+        for at in {at for w in rarest for at in self.by_word.get(w, ())}:
+            own = self.entities[at][1]
+            if all(near is rarest or any(w in near for w in own) for near in long):
+                yield at
 
     def _organisation(self, words, nears, own: list[str], legal: str | None, form: str | None) -> tuple[int, int, int] | None:
-        if legal and form and legal != form:
-            return None
         edits = self._assign(nears, own)
-        if edits is None:
-            return None
-        missing = len(own) - len(words)
-        rare = [w for w in own if w not in self.common]
-        if not any(w in near for near in nears for w in rare):
-            return None
-        return edits, missing, 0 if legal == form else 1
+        return None if edits is None else (edits, len(own) - len(words), 0 if legal == form else 1)
 
     @staticmethod
     def _assign(nears: list[dict[str, int]], own: list[str]) -> int | None:
@@ -294,7 +309,7 @@ def registered(registry: DataFrame) -> DataFrame:
     return joined.select("sponsor_id", "sponsor_name", "words", "legal", "person", F.coalesce("common", F.array().cast("array<string>")).alias("common"), F.coalesce("alike", F.lit(0)).alias("alike"))
 
 
-_LINK = "typed string, cost array<int>, sponsor_id bigint, n int"
+_LINK = "typed string, cost array<int>, sponsor_id bigint, n int, alike int"
 
 
 def link_names(names: DataFrame, registry: DataFrame, name: str = "sponsor") -> DataFrame:
@@ -320,14 +335,14 @@ def link_names(names: DataFrame, registry: DataFrame, name: str = "sponsor") ->
             known = Registry(shared.value)
             for batch in batches:
                 found = [(typed, known.link(typed)) for typed in batch["typed"]]
-                yield pd.DataFrame([(typed, list(hit[0]), *hit[1:]) for typed, hit in found if hit], columns=["typed", "cost", "sponsor_id", "n"])
+                yield pd.DataFrame([(typed, list(hit[0]), *hit[1:]) for typed, hit in found if hit], columns=["typed", "cost", "sponsor_id", "n", "alike"])
 
         parts.append(distinct.mapInPandas(run, _LINK))
     linked = reduce(DataFrame.unionByName, parts)
     if shards > 1:
-        least = linked.groupBy("typed").agg(F.min("cost").alias("cost"))
-        linked = linked.join(least, ["typed", "cost"]).groupBy("typed", "cost").agg(F.first("sponsor_id").alias("sponsor_id"), F.sum("n").alias("n"))
-    return linked.where("n = 1").select(F.col("typed").alias(name), "sponsor_id", F.col("cost")[1].alias("edits"), (F.col("cost")[0] == 0).alias("exact"))
+        least = linked.groupBy("typed").agg(F.min("cost").alias("cost"), F.sum("alike").alias("alike"))
+        linked = linked.drop("alike").join(least, ["typed", "cost"]).groupBy("typed", "cost", "alike").agg(F.first("sponsor_id").alias("sponsor_id"), F.sum("n").alias("n"))
+    return linked.where("n = 1 and (cost[0] < 3 or cost[2] = 0 or alike = 1)").select(F.col("typed").alias(name), "sponsor_id", F.col("cost")[1].alias("edits"), (F.col("cost")[0] == 0).alias("exact"))
 
 
 def link_rows(tables: dict[str, tuple[DataFrame, str]], registry: DataFrame, name: str = "sponsor") -> DataFrame:

@@ -118,3 +118,25 @@ def test_a_frequent_name_is_spread(spark, monkeypatch):
     whole = sorted(tuple(r) for r in names.link_rows({"manifest": (rows, "record_id")}, registry).collect())
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     assert sorted(tuple(r) for r in names.link_rows({"manifest": (rows, "record_id")}, registry).collect()) == whole and len(whole) == 60
+
+
+COMMON = [
+    (41, "Robert F. Toubrestett, MD", "person"), (42, "Robert A. Ganoxby", "person"), (43, "Robert C. Flelelkham", "person"), (44, "Susan D. Toubrestett", "person"), (45, "Daniel K. Toubrestett", "person"),
+    (51, "Northern Oncology Research Ltd", "organisation"), (52, "Northern Oncology Vaccines Ltd", "organisation"), (53, "Northern Renal Research Inc", "organisation"), (54, "Coastal Renal Vaccines Inc", "organisation"),
+    (55, "Coastal Renal Research Group Ltd", "organisation"), (56, "Coastal Oncology Vaccines Group Ltd", "organisation"), (57, "Eastern Oncology Research Group GmbH", "organisation"),
+]
+OF_COMMON = {
+    "Bob Toubrestett": 41, "Toubrestett RF": 41, "Toubrestett": None, "Robert": None, "NORTHERN ONCOLOGY RESEARCH": 51, "Nothern Renal": 53, "Northern Renal Ltd": None, "Northern Oncology": None,
+    "Coastal Renal": None, "Coastal Renal Vaccines": 54, "Research Group GmbH": None, "Oncology": None, "Coastal Group Renal": 55, "Vaccines Coastal Oncology": 56,
+}
+
+
+def test_common_words_alone(spark, monkeypatch):
+    # Each of these words but "Eastern" is in over two registered names; what they mean together is found all the same.
+    assert {n: link(n, COMMON) for n in OF_COMMON} == OF_COMMON
+    registry = spark.createDataFrame(COMMON, "sponsor_id long, sponsor_name string, sponsor_kind string")
+    rows = spark.createDataFrame([(n,) for n in OF_COMMON], "sponsor string")
+    for size in (100, 5, 1):
+        monkeypatch.setattr(names, "SHARD_NAMES", size)
+        got = {(r.sponsor, r.sponsor_id, r.edits) for r in names.link_names(rows, registry).collect()}
+        assert got == {(n, i, int(n == "Nothern Renal")) for n, i in OF_COMMON.items() if i}
