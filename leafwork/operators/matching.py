@@ -155,15 +155,49 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(union == 0, 0.0).otherwise(both / union)
 
 
+#: Pairs of texts of one key that are compared outright.
+PAIRS = 40_000
+
+
 def similarities(left: DataFrame, right: DataFrame, least: float, words=None) -> DataFrame:
-    """key, left_id, right_id, score of the pairs of one key with a score of at least `least`; texts in (key, id, text).
+    """key, left_id, right_id, score of the pairs of one key with a score of at least `least`, which is above 0; texts in
+    (key, id, text). Scores are exact. Texts without words have no pairs.
+
+    Of keys with at most PAIRS pairs every pair is compared, in one join by key; the pairs of a key are counted for this.
+    The texts of larger keys meet by prefix filter. All joins sort and shuffle: the word sets are many times larger than
+    what the optimizer takes from the size of the files, by which it would broadcast them.
+    """
+    words = words or (lambda c: T.word_set(T.match_form(c)))
+    count = lambda frame, name: frame.groupBy("key").agg(F.count("*").alias(name))
+    large = cut(_met(count(left, "n"), count(right, "m"), ["key"]).where(F.col("n") * F.col("m") > PAIRS).select("key"))
+    if large.isEmpty():
+        return _paired(left, right, least, words)
+    rest, many = ([bounded(large, frame, ["key"], how=how) for frame in (left, right)] for how in ("left_anti", "left_semi"))
+    return _paired(*rest, least, words).unionByName(_prefixed(*many, least, words))
+
+
+def _met(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    return left.join(right.hint("merge"), on)
+
+
+def _paired(left: DataFrame, right: DataFrame, least: float, words) -> DataFrame:
+    """similarities() by comparing all pairs of a key."""
+    pairs = _met(left.select("key", F.col("id").alias("left_id"), words(F.col("text")).alias("a")), right.select("key", F.col("id").alias("right_id"), words(F.col("text")).alias("b")), ["key"])
+    n, m, both = F.size("a"), F.size("b"), F.size(F.array_intersect("a", "b"))
+    # Sets of sizes too far apart are not compared; the second bound spares the others the exact score and allows for its
+    # rounding. Two sets without words have no score. A filter on one side alone would have its words made twice.
+    near = (F.least(n, m) >= F.greatest(n, m) * least - 1e-9) & (both * (1 + least) >= (n + m) * least - 1e-6)
+    return pairs.where(near).select("key", "left_id", "right_id", F.try_divide(both, n + m - both).alias("score")).where(F.col("score") >= least)
+
+
+def _prefixed(left: DataFrame, right: DataFrame, least: float, words) -> DataFrame:
+    """similarities() without comparing all pairs of a key.
 
     Equal word sets (by 128 bits of hash) are one class on either side, and classes meet by prefix filter: with the words of a set ordered
     from rare to frequent in its key, two sets as similar as asked share one of the first n - ceil(least * n) + 1 words
     of each. Frequent words therefore make no candidates; scores are exact. Pairs are between class representatives,
-    given back to the members at the end, so copies cost no comparison. Texts without words have no pairs.
+    given back to the members at the end, so copies cost no comparison.
     """
-    words = words or (lambda c: T.word_set(T.match_form(c)))
 
     def bags(frame: DataFrame) -> DataFrame:
         return frame.select("key", "id", F.array_sort(words(F.col("text"))).alias("bag")).where(F.size("bag") > 0).withColumn("class", F.struct(F.xxhash64("bag").alias("a"), F.xxhash64(F.lit(7), "bag").alias("b")))
@@ -174,15 +208,15 @@ def similarities(left: DataFrame, right: DataFrame, least: float, words=None) ->
     often = spread["left"].unionByName(spread["right"]).groupBy("key", "word").agg(F.count("*").alias("df"))
 
     def prefix(name: str) -> DataFrame:
-        ranked = spread[name].join(often, ["key", "word"]).groupBy("key", "class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
+        ranked = _met(spread[name], often, ["key", "word"]).groupBy("key", "class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("w"))
         kept = F.slice("w", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
         return ranked.select("key", F.col("class").alias(name), F.explode(kept["word"]).alias("word"))
 
-    pairs = prefix("left").join(prefix("right"), ["key", "word"]).select("key", "left", "right").distinct()
-    full = pairs.join(sets["left"].toDF("key", "left", "a"), ["key", "left"]).join(sets["right"].toDF("key", "right", "b"), ["key", "right"])
+    pairs = _met(prefix("left"), prefix("right"), ["key", "word"]).select("key", "left", "right").distinct()
+    full = _met(_met(pairs, sets["left"].toDF("key", "left", "a"), ["key", "left"]), sets["right"].toDF("key", "right", "b"), ["key", "right"])
     scored = full.select("key", "left", "right", jaccard(F.col("a"), F.col("b")).alias("score")).where(F.col("score") >= least)
     members = lambda frame, name: frame.select("key", F.col("class").alias(name), F.col("id").alias(f"{name}_id"))
-    return scored.join(members(one, "left"), ["key", "left"]).join(members(two, "right"), ["key", "right"]).select("key", "left_id", "right_id", "score")
+    return _met(_met(scored, members(one, "left"), ["key", "left"]), members(two, "right"), ["key", "right"]).select("key", "left_id", "right_id", "score")
 
 
 def shingles(text: Column, n: int = 5) -> Column:

@@ -71,6 +71,42 @@ def test_matching_equals_greedy_walk(spark):
     assert (none.precision, none.recall, none.f1) == (0.0, 0.0, 0.0)
 
 
+def _texts(key: str, n: int, rng: random.Random) -> list[tuple]:
+    return [(key, i, " ".join(rng.sample([f"w{k}" for k in range(14)], rng.randint(1, 7)))) for i in range(n)]
+
+
+def test_similar_texts_are_never_broadcast(spark, tmp_path):
+    """Word sets are larger than the files by which the optimizer judges them; broadcast, they fill the driver."""
+    rng = random.Random(6)
+    for name in ("a", "b"):
+        spark.createDataFrame(_texts("k", 30, rng) + _texts("l", 5, rng), "key string, id long, text string").write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("a", "b"))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    for build in (lambda: matching.best_matches(a, b), lambda: matching._prefixed(a, b, 0.3, lambda c: F.split(c, " "))):
+        found = build()
+        assert found.collect()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("pairs", [0, 100, 40_000])
+@pytest.mark.parametrize("least", [0.3, 0.5, 1.0])
+def test_similarities_equal_brute_force(spark, monkeypatch, pairs, least):
+    rng = random.Random(7)
+    odd = [("k", 90, None), ("k", 91, ""), ("k", 92, " - "), (None, 93, "w1 w2"), ("k", 94, "w1 w2 w3"), ("k", 95, "w3, w2 W1 w1"), ("m", 96, "")]
+    left, right = ([*_texts("k", 25, rng), *_texts("l", 6, rng), *odd, (alone, 97, "w1")] for alone in ("x", "y"))
+    bag = lambda t: {w.strip(",-").lower() for w in (t or "").split()} - {""}
+    expected = {}
+    for key, i, s in left:
+        for other, j, t in right:
+            x, y = bag(s), bag(t)
+            if key is not None and key == other and x and y and len(x & y) / len(x | y) >= least:
+                expected[key, i, j] = len(x & y) / len(x | y)
+    monkeypatch.setattr(matching, "PAIRS", pairs)
+    a, b = (spark.createDataFrame(rows, "key string, id long, text string") for rows in (left, right))
+    got = [tuple(r) for r in matching.similarities(a, b, least).collect()]
+    assert len(got) == len(expected) and {r[:3]: r[3] for r in got} == expected
+
+
 def test_metric_arithmetic(spark):
     classes = spark.createDataFrame([("match",)] * 19 + [("false_positive",)] * 5, "class string")
     row = matching.match_metrics(classes, spark.range(23)).first()
