@@ -200,7 +200,8 @@ def _prefixed(left: DataFrame, right: DataFrame, least: float, words) -> DataFra
     """
 
     def bags(frame: DataFrame) -> DataFrame:
-        return frame.select("key", "id", F.array_sort(words(F.col("text"))).alias("bag")).where(F.size("bag") > 0).withColumn("class", F.struct(F.xxhash64("bag").alias("a"), F.xxhash64(F.lit(7), "bag").alias("b")))
+        # Empty sets make no words below; a filter on them would move before the choice of keys and make the words of all texts.
+        return frame.select("key", "id", F.array_sort(words(F.col("text"))).alias("bag")).withColumn("class", F.struct(F.xxhash64("bag").alias("a"), F.xxhash64(F.lit(7), "bag").alias("b")))
 
     one, two = bags(left), bags(right)
     sets = {name: frame.groupBy("key", "class").agg(F.min("bag").alias("bag")) for name, frame in (("left", one), ("right", two))}
